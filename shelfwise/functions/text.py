@@ -97,6 +97,11 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def token_count(text: Column) -> Column:
+    """``size(tokens(text))`` without building the array."""
+    return F.regexp_count(F.lower(text), F.lit(r"[\p{L}\p{N}]+"))
+
+
 # Character classes of the usual uncased word-piece scheme.
 _DROPPED = r"[\p{Cc}\p{Cf}\p{Cn}\p{Co}\x{FFFD}&&[^\t\n\r]]"
 _ALONE = (

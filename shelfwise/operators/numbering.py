@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfwise.functions.keys import digest, leading_number
+from shelfwise.functions.keys import digest
 from shelfwise.scratch import written
 
 # 65,536 digest ranges. Digests are uniform, so at 10**11 rows a range holds 1.5 million.

@@ -9,8 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.keys import digest, leading_number
-from shelfwise.functions.text import tokens
+from shelfwise.functions.text import token_count
 from shelfwise.schema import LABEL, TEXT
+from shelfwise.scratch import sized_for_join
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -68,6 +69,7 @@ def collected(df: DataFrame, value: str, key: str, by: str = LABEL, rows_per_pie
     sizes = present.groupBy(F.col(by).alias("__by")).agg(
         F.ceil(F.count(F.lit(1)) / rows_per_piece).alias("pieces")
     )
+    sizes = sized_for_join(sizes, "group-sizes")
     return (
         present.join(sizes, F.col(by).eqNullSafe(F.col("__by")))
         .withColumn("piece", leading_number(digest(key)) % F.col("pieces"))
@@ -116,7 +118,7 @@ def box_statistics_approx(df: DataFrame, value: Column, by: str = LABEL, accurac
 
 def truncation(df: DataFrame, max_length: int = 512, text: str = TEXT, by: str = LABEL) -> DataFrame:
     """Per group: rows, mean tokens and the share of rows that lose tokens to the length limit."""
-    sized = df.select(by, F.size(tokens(F.col(text))).alias("__n"))
+    sized = df.select(by, token_count(F.col(text)).alias("__n"))
     return sized.groupBy(by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.avg("__n").alias("mean_tokens"),

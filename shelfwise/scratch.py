@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Folders made for local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -18,8 +22,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="shelfwise-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.setdefault(app, "") or tempfile.mkdtemp(prefix="shelfwise-")
+        _LOCAL_ROOTS[app] = root
     return root.rstrip("/")
 
 
@@ -36,3 +41,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sized_for_join(small: DataFrame, name: str, most_rows: int = 100_000) -> DataFrame:
+    """A derived table meant as the small side of a join: written, counted, then marked.
+
+    Up to ``most_rows`` narrow rows it is broadcast; beyond that the join is left to Spark, which
+    shuffles both sides and splits skewed partitions at run time.
+    """
+    fixed = written(small, name)
+    return F.broadcast(fixed) if fixed.count() <= most_rows else fixed
