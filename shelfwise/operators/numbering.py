@@ -43,10 +43,10 @@ def shuffled_numbers(
     return (
         df.withColumn("__digest", hashed)
         .withColumn("__range", ranged)
-        .withColumn("__rank", F.row_number().over(inside))
+        .withColumn("__inside", F.row_number().over(inside))
         .join(F.broadcast(starts), "__range")
-        .withColumn(name, F.col("__start") + F.col("__rank"))
-        .drop("__digest", "__range", "__rank", "__start")
+        .withColumn(name, F.col("__start") + F.col("__inside"))
+        .drop("__digest", "__range", "__inside", "__start")
     )
 
 
@@ -63,7 +63,7 @@ def sorted_numbers(df: DataFrame, *order: Column, name: str = "row_number") -> D
     )
     # Documented layout: partition in the upper 31 bits, position in the lower 33.
     split = fixed.withColumn("__part", F.shiftright("__position", 33)).withColumn(
-        "__rank", F.col("__position").bitwiseAND(F.lit((1 << 33) - 1))
+        "__inside", F.col("__position").bitwiseAND(F.lit((1 << 33) - 1))
     )
     before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
@@ -73,8 +73,8 @@ def sorted_numbers(df: DataFrame, *order: Column, name: str = "row_number") -> D
     )
     return (
         split.join(F.broadcast(starts), "__part")
-        .withColumn(name, F.col("__start") + F.col("__rank") + 1)
-        .drop("__position", "__part", "__rank", "__start")
+        .withColumn(name, F.col("__start") + F.col("__inside") + 1)
+        .drop("__position", "__part", "__inside", "__start")
     )
 
 
