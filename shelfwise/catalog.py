@@ -77,7 +77,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet")
+    # Texts ask for much work per byte.
+    return read_table(spark, f"{folder}/{name}.parquet", spread=name in ("documents", "pages"))
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,9 +176,9 @@ def _digest_sql(key: str, seed: int = 42, epoch: int = 0) -> str:
     return f"md5('{seed}|{epoch}|' || CAST({key} AS VARCHAR))"
 
 
-def _joined(items: str, target: str | None = None) -> Column:
+def _as_text(items: str) -> Column:
     """An array of numbers as text, to compare it across engines."""
-    return F.array_join(F.transform(items, lambda i: i.cast("string")), ",").alias(target or items)
+    return F.col(items).cast("string").alias(items)
 
 
 # --- scans, sources, sinks -------------------------------------------------------------------
@@ -445,16 +446,16 @@ found AS (
 framed AS (
   SELECT doc_id, lang, list_concat([2], coalesce(ids, []), [3]) AS ids FROM documents LEFT JOIN found USING (doc_id))
 SELECT doc_id, lang AS main_cat,
-       array_to_string(list_concat(ids, list_transform(range(512 - len(ids)), lambda i: 0)), ',') AS input_ids,
-       array_to_string(list_concat(list_transform(ids, lambda i: 1),
-                                   list_transform(range(512 - len(ids)), lambda i: 0)), ',') AS attention_mask
+       CAST(list_concat(ids, list_transform(range(512 - len(ids)), lambda i: 0)) AS VARCHAR) AS input_ids,
+       CAST(list_concat(list_transform(ids, lambda i: 1),
+                        list_transform(range(512 - len(ids)), lambda i: 0)) AS VARCHAR) AS attention_mask
 FROM framed"""
 )
 def words_encoded(spark: SparkSession, folder: str) -> DataFrame:
     rows = texts(spark, folder)
     known = word_vocabulary(rows, min_count=2)
     encoded = encode(rows, known, 512, "word", keys=("doc_id",))
-    return encoded.select("doc_id", LABEL, _joined("input_ids"), _joined("attention_mask"))
+    return encoded.select("doc_id", LABEL, _as_text("input_ids"), _as_text("attention_mask"))
 
 
 SQL["words_encoded_by_join"] = SQL["words_encoded"]
@@ -466,7 +467,7 @@ def words_encoded_by_join(spark: SparkSession, folder: str) -> DataFrame:
     rows = texts(spark, folder)
     known = word_vocabulary(rows, min_count=2)
     encoded = encode(rows, known, 512, "word", keys=("doc_id",), route="join")
-    return encoded.select("doc_id", LABEL, _joined("input_ids"), _joined("attention_mask"))
+    return encoded.select("doc_id", LABEL, _as_text("input_ids"), _as_text("attention_mask"))
 
 
 _PIECE_IDS_SQL = f"""
@@ -477,7 +478,7 @@ pieces AS (
   SELECT CASE WHEN i > 1 THEN '##' ELSE '' END || substr(w, i, len) AS token, n FROM runs
   UNION ALL SELECT w, n FROM counts WHERE length(w) > 6),
 piece_counts AS (SELECT token, CAST(sum(n) AS BIGINT) AS n FROM pieces GROUP BY token),
-vocabulary AS (
+vocabulary AS MATERIALIZED (
   SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS id FROM piece_counts
   ORDER BY n DESC, token LIMIT 7996)"""
 
@@ -496,13 +497,13 @@ def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
 _CLASS = r"!-/:-@\[-`{-~\p{P}"
 
 PIECES_ENCODED_SQL = f"""WITH RECURSIVE {_PIECE_IDS_SQL},
-placed AS (
+placed AS MATERIALIZED (
   SELECT doc_id, lower(strip_accents(unnest(words))) AS f, generate_subscripts(words, 1) AS pos
   FROM (SELECT doc_id, regexp_extract_all(text, '[{_CLASS}]|[^{_CLASS}\\t\\n\\r\\p{{Z}}]+') AS words FROM documents)),
-folded AS (SELECT DISTINCT f FROM placed),
+folded AS MATERIALIZED (SELECT DISTINCT f FROM placed),
 spots AS (SELECT f, unnest(range(1, length(f) + 1)) AS i FROM folded WHERE length(f) <= 100),
 cuts AS (SELECT f, i, unnest(range(1, length(f) - i + 2)) AS len FROM spots),
-best AS (
+best AS MATERIALIZED (
   SELECT f, i, max(len) AS len, arg_max(id, len) AS id
   FROM cuts JOIN vocabulary ON token = CASE WHEN i > 1 THEN '##' ELSE '' END || substr(f, i, len)
   GROUP BY f, i),
@@ -518,7 +519,7 @@ found AS (
 framed AS (
   SELECT doc_id, lang, list_concat([2], coalesce(ids, []), [3]) AS ids FROM documents LEFT JOIN found USING (doc_id))
 SELECT doc_id, lang AS main_cat,
-       array_to_string(list_concat(ids, list_transform(range(512 - len(ids)), lambda i: 0)), ',') AS input_ids,
+       CAST(list_concat(ids, list_transform(range(512 - len(ids)), lambda i: 0)) AS VARCHAR) AS input_ids,
        CAST(len(ids) AS BIGINT) AS used
 FROM framed"""
 
@@ -528,7 +529,7 @@ def _pieces(spark: SparkSession, folder: str, route: str | None = None) -> DataF
     known = piece_vocabulary(rows, TEXT, PIECES)
     encoded = encode(rows, known, 512, "piece", keys=("doc_id",), route=route)
     used = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, m: a + m)
-    return encoded.select("doc_id", LABEL, _joined("input_ids"), used.alias("used"))
+    return encoded.select("doc_id", LABEL, _as_text("input_ids"), used.alias("used"))
 
 
 @query(PIECES_ENCODED_SQL)
@@ -654,13 +655,13 @@ def text_length_by_label(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT p_type AS main_cat, array_to_string(list(p_partkey ORDER BY p_partkey), ',') AS examples
+    """SELECT p_type AS main_cat, CAST(list(p_partkey ORDER BY p_partkey) AS VARCHAR) AS examples
 FROM (SELECT p_type, p_partkey, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) AS r FROM part)
 WHERE r <= 10 GROUP BY p_type"""
 )
 def label_examples(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "part").select(F.col("p_type").alias(LABEL), "p_partkey")
-    return examples(rows, "p_partkey", 10, ["p_partkey"]).select(LABEL, _joined("examples"))
+    return examples(rows, "p_partkey", 10, ["p_partkey"]).select(LABEL, _as_text("examples"))
 
 
 def _batch_sql(table_name: str, key: str, size: int, epoch: int = 0) -> str:

@@ -15,8 +15,9 @@ SEPARATOR = " | "
 # The characters Python's str.split() treats as white space.
 _SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
 
-# The general categories that Python's repr() escapes, the plain space excepted.
-_UNPRINTABLE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}&&[^ ]]"
+# The general categories that Python's repr() leaves as they are, and the plain space.
+# The ASCII range comes first because class members are tried in order.
+_PRINTABLE = r"[ -~\p{L}\p{M}\p{N}\p{P}\p{S}]"
 
 
 def _text(name: str) -> Column:
@@ -36,7 +37,7 @@ def _escape_unprintable(char: Column) -> Column:
     code = F.ascii(char)
     digits = F.lower(F.hex(code))
     return (
-        F.when(~char.rlike(_UNPRINTABLE), char)
+        F.when(char.rlike(_PRINTABLE), char)
         .when(char == "\n", F.lit("\\n"))
         .when(char == "\r", F.lit("\\r"))
         .when(char == "\t", F.lit("\\t"))
@@ -50,10 +51,9 @@ def quoted(text: Column) -> Column:
     """A string as Python prints it inside a list: quotes chosen and characters escaped alike."""
     escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
     # Character-by-character work only for the rare texts that need it.
-    escaped = F.when(
-        text.rlike(_UNPRINTABLE),
-        F.array_join(F.transform(F.split(escaped, ""), _escape_unprintable), ""),
-    ).otherwise(escaped)
+    escaped = F.when(text.rlike(rf"\A{_PRINTABLE}*\z"), escaped).otherwise(
+        F.array_join(F.transform(F.split(escaped, ""), _escape_unprintable), "")
+    )
     double = text.contains("'") & ~text.contains('"')
     single = F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'"))
     return (
@@ -92,14 +92,17 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(f"[^{_SPACE}]+"))
 
 
+# Letters and digits; the ASCII ranges come first because class members are tried in order.
+_TOKEN = r"[a-z0-9\p{L}\p{N}]+"
+
+
 def tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
 
 
 def token_count(text: Column) -> Column:
-    """``size(tokens(text))`` without building the array."""
-    return F.regexp_count(F.lower(text), F.lit(r"[\p{L}\p{N}]+"))
+    return F.regexp_count(F.lower(text), F.lit(_TOKEN))
 
 
 # Character classes of the usual uncased word-piece scheme.
@@ -116,6 +119,9 @@ def rough_words(text: Column) -> Column:
 
     Case and accents are kept; they are folded once per distinct word when pieces are looked up.
     """
-    clean = F.regexp_replace(text, _DROPPED, "")
-    found = F.regexp_extract_all(clean, F.lit(rf"[{_ALONE}]|[^{_ALONE}\t\n\r\p{{Z}}]+"), F.lit(0))
+    usual = text.rlike(rf"\A[ -~\n\r\t\p{{L}}\p{{M}}\p{{N}}\p{{P}}\p{{S}}\p{{Z}}]*\z") & ~text.contains("\uFFFD")
+    clean = F.when(usual, text).otherwise(F.regexp_replace(text, _DROPPED, ""))
+    found = F.regexp_extract_all(
+        clean, F.lit(rf"[a-zA-Z0-9[^{_ALONE}\t\n\r\p{{Z}}]]+|[{_ALONE}]"), F.lit(0)
+    )
     return F.filter(found, lambda w: ~w.rlike(r"^\p{Mn}+$"))

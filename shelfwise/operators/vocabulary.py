@@ -61,21 +61,16 @@ def piece_counts(df: DataFrame, text: str = TEXT, longest: int = 6) -> DataFrame
     run further in, marked as continuing. Candidates come from distinct words and carry their count.
     """
     words = token_counts(df, text)
-    starts = F.sequence(F.lit(1), F.length("token"))
-    lengths = F.sequence(F.lit(1), F.lit(longest))
-    runs = F.flatten(
-        F.transform(starts, lambda i: F.transform(lengths, lambda n: F.struct(i.alias("i"), n.alias("n"))))
-    )
-    fitting = F.filter(runs, lambda r: r["i"] + r["n"] - 1 <= F.length("token"))
-    pieces = F.transform(
-        fitting,
-        lambda r: F.concat(
-            F.when(r["i"] > 1, F.lit(CONTINUES)).otherwise(F.lit("")), F.substr(F.col("token"), r["i"], r["n"])
-        ),
-    )
-    whole = F.when(F.length("token") > longest, F.array("token")).otherwise(F.array().cast("array<string>"))
+    # A word grows some fifty-fold here: spread the words by number, not by their present size.
+    words = words.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size, at, length = F.length("token"), F.col("at"), F.col("length")
+    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), size - at + 1))
+    whole = F.when((at == 1) & (size > longest), F.array(size)).otherwise(F.array().cast("array<int>"))
+    mark = F.when(at > 1, F.lit(CONTINUES)).otherwise(F.lit(""))
     return (
-        words.select("n", F.explode(F.concat(pieces, whole)).alias("token"))
+        words.select("token", "n", F.explode(F.sequence(F.lit(1), size)).alias("at"))
+        .select("token", "n", "at", F.explode(F.concat(lengths, whole)).alias("length"))
+        .select("n", F.concat(mark, F.substr(F.col("token"), at, length)).alias("token"))
         .groupBy("token")
         .agg(F.sum("n").alias("n"))
     )

@@ -7,10 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read Parquet; a given schema spares the footer read of very wide directories."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, spread: bool = False
+) -> DataFrame:
+    """Read Parquet; a given schema spares the footer read of very wide directories.
+
+    A row group is read by one task. ``spread`` hands rows out evenly when the scan has fewer tasks
+    than the cluster has cores, for heavy text work on few large row groups; a scan with enough
+    tasks stays as it is.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    df = reader.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, rows_per_file: int | None = None) -> None:
