@@ -76,16 +76,20 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 # --- the provided tables as records -------------------------------------------------------------
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    # Texts ask for much work per byte.
-    return read_table(spark, f"{folder}/{name}.parquet", spread=name in ("documents", "pages"))
+def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, f"{folder}/{name}.parquet", spread=spread)
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents for work on their texts, which costs much per row."""
+    return table(spark, folder, "documents", spread=True)
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as records: the lines of a text are its description, the language is the label."""
     none = F.array().cast("array<string>")
     chars = F.col("n_chars").cast("string")
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         F.col("doc_id").cast("string").alias("asin"),
         F.concat_ws(" ", "source", "lang").alias("title"),
         F.col("source").alias("brand"),
@@ -139,7 +143,7 @@ parts AS (
 
 def texts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as preprocessed rows: key, text and label."""
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.col("text").alias(TEXT), F.col("lang").alias(LABEL)
     )
 
@@ -158,7 +162,7 @@ def _guess(words: Column) -> Column:
 
 def guesses(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with their actual and a guessed label."""
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.col("lang").alias("actual"), _guess(tokens(F.col("text"))).alias("predicted")
     )
 
@@ -378,7 +382,7 @@ def text_spaced(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT doc_id, CAST({WORDS_SQL.format('text')} AS BIGINT) AS words FROM documents")
 def words_counted(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", word_count(F.col("text")).cast("bigint").alias("words"))
+    return documents(spark, folder).select("doc_id", word_count(F.col("text")).cast("bigint").alias("words"))
 
 
 @query(
@@ -432,7 +436,7 @@ ranks AS (SELECT token, n, row_number() OVER (ORDER BY n DESC, token) + 3 AS id
 
 @query(f"WITH {_WORD_IDS_SQL} SELECT token, n, id FROM ranks")
 def word_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return ranked(token_counts(table(spark, folder, "documents"), "text", min_count=2))
+    return ranked(token_counts(documents(spark, folder), "text", min_count=2))
 
 
 @query(
@@ -491,7 +495,7 @@ SELECT token, id FROM vocabulary
 UNION ALL SELECT unnest(['[PAD]', '[UNK]', '[CLS]', '[SEP]']), unnest([0, 1, 2, 3])"""
 )
 def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return piece_vocabulary(table(spark, folder, "documents"), "text", PIECES)
+    return piece_vocabulary(documents(spark, folder), "text", PIECES)
 
 
 _CLASS = r"!-/:-@\[-`{-~\p{P}"

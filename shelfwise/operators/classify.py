@@ -69,19 +69,23 @@ def fit_text_classifier(
 ) -> Fitted:
     """Fit one classifier per regularisation strength and keep the one with the least validation loss.
 
-    Features are fitted once on the training rows and kept for all candidates, in memory or on disk;
+    Term counts are made once and kept, in memory or on disk, for the term weights and all candidates;
     a lost part is computed again from its source. Each fit aggregates gradients as a tree over the
     executors. The driver sees coefficients and one score row per candidate.
     """
-    coded_train, coded_val = with_code(train, labels, label), with_code(val, labels, label)
-    stages = Pipeline(stages=text_features(text, **feature_options)).fit(coded_train)
-    rows = stages.transform(coded_train).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    held = stages.transform(coded_val).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    *counting, weighting = text_features(text, **feature_options)
+    count = Pipeline(stages=counting).fit(train)
+    rows, held = (
+        count.transform(with_code(part, labels, label)).select("label", "counts").persist(StorageLevel.MEMORY_AND_DISK)
+        for part in (train, val)
+    )
     try:
+        weight = weighting.fit(rows)
+        weighted, weighted_held = weight.transform(rows), weight.transform(held)
         scored, models = [], []
         for number, strength in enumerate(strengths):
-            model = _logistic(strength, iterations).fit(rows)
-            found = model.transform(held).agg(
+            model = _logistic(strength, iterations).fit(weighted)
+            found = model.transform(weighted_held).agg(
                 F.avg(loss_of_row()).alias("loss"),
                 F.avg(F.when(F.col("prediction") == F.col("label"), 1.0).otherwise(0.0)).alias("accuracy"),
             ).first()
@@ -96,7 +100,7 @@ def fit_text_classifier(
         rows.unpersist()
         held.unpersist()
     decode = label_decoder(labels, target="predicted")
-    model = PipelineModel(stages=[*stages.stages, models[number], decode])
+    model = PipelineModel(stages=[*count.stages, weight, models[number], decode])
     return Fitted(model, strengths[number], scores)
 
 

@@ -8,7 +8,7 @@ joined instead. Splitting, cutting, padding and masks are Spark expressions on b
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +34,9 @@ def fits_sending(vocabulary: DataFrame) -> bool:
     return size["n"] <= MOST_SENT_ROWS and (size["chars"] or 0) <= MOST_SENT_CHARS
 
 
-def special_ids(vocabulary: DataFrame) -> dict[str, int]:
+def special_ids(pairs: Iterable[tuple[str, int]]) -> dict[str, int]:
     wanted = (PAD, UNKNOWN, START, END)
-    found = {r["token"]: r["id"] for r in vocabulary.filter(F.col("token").isin(*wanted)).collect()}
+    found = {token: i for token, i in pairs if token in wanted}
     missing = [t for t in wanted if t not in found]
     if missing:
         raise ValueError(f"vocabulary lacks {missing}")
@@ -131,12 +131,16 @@ def _offsets(lists: pa.Array) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
 
 
-def _by_lookup(df: DataFrame, words: Column, vocabulary: DataFrame, level: str, special: dict[str, int]) -> DataFrame:
+def _by_lookup(
+    df: DataFrame, words: Column, vocabulary: DataFrame, level: str
+) -> tuple[DataFrame, dict[str, int]]:
     known = vocabulary.select("token", F.col("id").cast("int")).toArrow().combine_chunks()
-    pair = (known.column("token").combine_chunks(), known.column("id").combine_chunks())
-    sent = df.sparkSession.sparkContext.broadcast(pair)
+    tokens_of, ids_of = (known.column(c).combine_chunks() for c in ("token", "id"))
+    is_special = pc.is_in(tokens_of, value_set=pa.array([PAD, UNKNOWN, START, END]))
+    special = special_ids(zip(tokens_of.filter(is_special).to_pylist(), ids_of.filter(is_special).to_pylist()))
+    sent = df.sparkSession.sparkContext.broadcast((tokens_of, ids_of))
     make = _word_lookup if level == "word" else _piece_lookup
-    return df.withColumn("__pieces", make(sent, special[UNKNOWN])(words))
+    return df.withColumn("__pieces", make(sent, special[UNKNOWN])(words)), special
 
 
 def folded(word: Column) -> Column:
@@ -239,12 +243,12 @@ def encode(
     if level not in ("word", "piece"):
         raise ValueError(f"unknown level {level}")
     route = route or ("lookup" if fits_sending(vocabulary) else "join")
-    special = special_ids(vocabulary)
-    split = tokens if level == "word" else rough_words
-    words = F.slice(split(F.col(text)), 1, max_length - 2)
+    words = F.slice((tokens if level == "word" else rough_words)(F.col(text)), 1, max_length - 2)
     if route == "lookup":
-        found = _by_lookup(df, words, vocabulary, level, special)
+        found, special = _by_lookup(df, words, vocabulary, level)
     else:
+        rows = vocabulary.filter(F.col("token").isin(PAD, UNKNOWN, START, END)).select("token", "id").collect()
+        special = special_ids(rows)
         found = _by_join(df, words, vocabulary, level, special, list(keys))
     ids, mask = framed(F.col("__pieces"), special, max_length)
     return found.withColumn("input_ids", ids).withColumn("attention_mask", mask).drop("__pieces", text)

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.arrays import percent, ratio
+from shelfwise.scratch import written
 
 
 def pair_counts(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
@@ -147,15 +148,15 @@ def running_means(
 
     Batches are first summed per reporting block (on the map side), blocks are summed up inside
     chunks in parallel, and a chunk starts from the total of the chunks before it. Only chunk totals,
-    one per ``every * blocks_per_chunk`` batches, meet in one task.
+    one per ``every * blocks_per_chunk`` batches, meet in one task. The block sums are written once,
+    since both the chunks and their starts are made from them.
     """
     block = F.floor(F.col(index) / every)
     sums = [F.sum(n).alias(f"__{n}") for n in names]
-    blocks = (
-        scores.groupBy(block.alias("__block"))
-        .agg(F.max(index).alias("step"), F.count(F.lit(1)).alias("__rows"), *sums)
-        .withColumn("__chunk", F.floor(F.col("__block") / blocks_per_chunk))
+    blocks = scores.groupBy(block.alias("__block")).agg(
+        F.max(index).alias("step"), F.count(F.lit(1)).alias("__rows"), *sums
     )
+    blocks = written(blocks.withColumn("__chunk", F.floor(F.col("__block") / blocks_per_chunk)), "step-sums")
     parts = ["__rows", *[f"__{n}" for n in names]]
     upto = W.partitionBy("__chunk").orderBy("__block").rowsBetween(W.unboundedPreceding, W.currentRow)
     before = W.orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)

@@ -85,23 +85,26 @@ def box_statistics(df: DataFrame, value: Column, by: str = LABEL) -> DataFrame:
     table. Whiskers reach the last value within 1.5 box heights; values beyond are outliers.
     """
     counts = df.groupBy(by, value.alias("__value")).agg(F.count(F.lit(1)).alias("__n"))
-    present = counts.filter(F.col("__value").isNotNull())
-    boxes = present.groupBy(F.col(by).alias("__by")).agg(
-        F.sum("__n").alias("n"),
+    # Null measures count for nothing. They are not filtered out: such a filter would sink below the
+    # count and compute the measure a second time.
+    known = F.when(F.col("__value").isNotNull(), F.col("__n")).otherwise(F.lit(0))
+    boxes = counts.groupBy(F.col(by).alias("__by")).agg(
+        F.sum(known).alias("n"),
         F.percentile("__value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("__n")).alias("__q"),
     )
-    boxes = boxes.select("__by", "n", *[F.get("__q", F.lit(i)).alias(q) for i, q in enumerate(("q1", "median", "q3"))])
+    boxes = boxes.filter(F.col("n") > 0).select(
+        "__by", "n", *[F.get("__q", F.lit(i)).alias(q) for i, q in enumerate(("q1", "median", "q3"))]
+    )
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    low, high = F.col("q1") - reach, F.col("q3") + reach
-    inside = F.col("__value").between(low, high)
+    inside = F.col("__value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        present.join(boxes, F.col(by).eqNullSafe(F.col("__by")))
+        counts.join(boxes, F.col(by).eqNullSafe(F.col("__by")))
         .groupBy(by, "n", "q1", "median", "q3")
         .agg(
             # A whisker never ends inside the box.
             F.least(F.min(F.when(inside, F.col("__value"))).cast("double"), F.col("q1")).alias("whisker_low"),
             F.greatest(F.max(F.when(inside, F.col("__value"))).cast("double"), F.col("q3")).alias("whisker_high"),
-            F.sum(F.when(inside, F.lit(0)).otherwise(F.col("__n"))).alias("outliers"),
+            F.sum(F.when(~inside, F.col("__n")).otherwise(F.lit(0))).alias("outliers"),
         )
     )
 
