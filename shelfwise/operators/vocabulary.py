@@ -88,7 +88,7 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
 
     This is how trained word-piece vocabularies are shipped; a vocabulary is one small file.
     """
-    lines = spark.read.option("wholetext", True).text(path)
+    lines = spark.read.text(path, wholetext=True)
     listed = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
     return lines.select(F.posexplode(listed).alias("id", "token")).select("token", F.col("id").cast("bigint"))
 
