@@ -794,7 +794,7 @@ def features_projected(spark: SparkSession, folder: str) -> DataFrame:
     return projected.select("vec_id", F.get(values, F.lit(0)).alias("first"), F.get(values, F.lit(1)).alias("second"))
 
 
-def _linear(spark: SparkSession, folder: str, components: int, strength: float) -> DataFrame:
+def _linear(spark: SparkSession, folder: str, components: int, strength: float | None) -> DataFrame:
     labels = [str(i) for i in range(10)]
     rows = table(spark, folder, "embeddings").select(
         "vec_id", F.col("embedding").alias("input_ids"), F.col("label").cast("string").alias(LABEL)
@@ -951,7 +951,7 @@ def stream_predictions(spark: SparkSession, folder: str) -> DataFrame:
     source, target, state = (scratch_path(spark, f"scoring-{n}") for n in ("in", "out", "state"))
     write_table(products(spark, folder).drop(LABEL), source)
     stream = request_stream(spark, source, REQUEST, "parquet")
-    start_scoring(stream, _small_model(spark, folder), target, state).awaitTermination()
+    start_scoring(stream, _small_model(spark, folder), target, state, include_key=False).awaitTermination()
     return read_table(spark, target)
 
 

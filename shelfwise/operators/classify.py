@@ -105,10 +105,22 @@ def fit_text_classifier(
 
 
 def fit_margin_classifier(
-    df: DataFrame, features: str = "projected", strength: float = 0.0, iterations: int = 50, parallel: int = 4
+    df: DataFrame,
+    features: str = "projected",
+    strength: float | None = None,
+    iterations: int = 50,
+    parallel: int = 4,
 ) -> Transformer:
-    """One linear maximum-margin classifier per label against the rest."""
-    one = LinearSVC(featuresCol=features, regParam=strength, maxIter=iterations, aggregationDepth=3)
+    """One linear maximum-margin classifier per label against the rest, on features as they are.
+
+    ``strength`` weighs the penalty against the mean hinge loss; by default it is one over the
+    number of rows, which is a support vector machine with unit cost.
+    """
+    if strength is None:
+        strength = 1.0 / max(df.count(), 1)
+    one = LinearSVC(
+        featuresCol=features, regParam=strength, maxIter=iterations, aggregationDepth=3, standardization=False
+    )
     return OneVsRest(classifier=one, featuresCol=features, labelCol="label", parallelism=parallel).fit(df)
 
 

@@ -17,7 +17,7 @@ from shelfwise.operators.sampling import sample_exact, with_exact_split
 from shelfwise.schema import KEY, LABEL, LABELS
 
 # Projected width and penalty of the two baselines.
-MARGIN = {"components": 2, "strength": 0.0}
+MARGIN = {"components": 2, "strength": None}
 HINGE = {"components": 100, "strength": 1e-4}
 
 
@@ -32,7 +32,7 @@ class Baseline:
 def linear_baseline(
     encoded: DataFrame,
     components: int = 2,
-    strength: float = 0.0,
+    strength: float | None = None,
     labels: Sequence[str] = LABELS,
     key: str = KEY,
     label: str = LABEL,

@@ -29,10 +29,18 @@ def request_stream(
 
 
 def start_scoring(
-    requests: DataFrame, model: PipelineModel, output: str, checkpoint: str, once: bool = True
+    requests: DataFrame,
+    model: PipelineModel,
+    output: str,
+    checkpoint: str,
+    once: bool = True,
+    include_key: bool = True,
 ) -> StreamingQuery:
-    """Write predictions for accepted requests to Parquet, each request exactly once."""
-    return start_writing(predict(requests, model), output, checkpoint, once)
+    """Write predictions for accepted requests to Parquet, each request exactly once.
+
+    ``include_key`` must be as in the preparation of the training texts.
+    """
+    return start_writing(predict(requests, model, include_key), output, checkpoint, once)
 
 
 def start_writing(rows: DataFrame, output: str, checkpoint: str, once: bool = True) -> StreamingQuery:
