@@ -458,7 +458,7 @@ FROM framed"""
 def words_encoded(spark: SparkSession, folder: str) -> DataFrame:
     rows = texts(spark, folder)
     known = word_vocabulary(rows, min_count=2)
-    encoded = encode(rows, known, 512, "word", keys=("doc_id",))
+    encoded = encode(rows, known, 512, "word")
     return encoded.select("doc_id", LABEL, _as_text("input_ids"), _as_text("attention_mask"))
 
 
@@ -470,7 +470,7 @@ def words_encoded_by_join(spark: SparkSession, folder: str) -> DataFrame:
     """The same by the route for vocabularies too large to send."""
     rows = texts(spark, folder)
     known = word_vocabulary(rows, min_count=2)
-    encoded = encode(rows, known, 512, "word", keys=("doc_id",), route="join")
+    encoded = encode(rows, known, 512, "word", route="join")
     return encoded.select("doc_id", LABEL, _as_text("input_ids"), _as_text("attention_mask"))
 
 
@@ -531,7 +531,7 @@ FROM framed"""
 def _pieces(spark: SparkSession, folder: str, route: str | None = None) -> DataFrame:
     rows = texts(spark, folder)
     known = piece_vocabulary(rows, TEXT, PIECES)
-    encoded = encode(rows, known, 512, "piece", keys=("doc_id",), route=route)
+    encoded = encode(rows, known, 512, "piece", route=route)
     used = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, m: a + m)
     return encoded.select("doc_id", LABEL, _as_text("input_ids"), used.alias("used"))
 

@@ -38,9 +38,14 @@ def with_code(df: DataFrame, labels: Sequence[str] = LABELS, label: str = LABEL)
     return df.withColumn("label", label_code(F.col(label), labels).cast("double"))
 
 
-def _logistic(strength: float, iterations: int) -> LogisticRegression:
+def _depth(df: DataFrame) -> int:
+    """Levels of a gradient's aggregation tree: one more on large clusters keeps the last step small."""
+    return 2 if df.sparkSession.sparkContext.defaultParallelism <= 64 else 3
+
+
+def _logistic(df: DataFrame, strength: float, iterations: int) -> LogisticRegression:
     return LogisticRegression(
-        family="multinomial", regParam=strength, maxIter=iterations, aggregationDepth=3, tol=1e-5
+        family="multinomial", regParam=strength, maxIter=iterations, aggregationDepth=_depth(df), tol=1e-5
     )
 
 
@@ -84,7 +89,7 @@ def fit_text_classifier(
         weighted, weighted_held = weight.transform(rows), weight.transform(held)
         scored, models = [], []
         for number, strength in enumerate(strengths):
-            model = _logistic(strength, iterations).fit(weighted)
+            model = _logistic(weighted, strength, iterations).fit(weighted)
             found = model.transform(weighted_held).agg(
                 F.avg(loss_of_row()).alias("loss"),
                 F.avg(F.when(F.col("prediction") == F.col("label"), 1.0).otherwise(0.0)).alias("accuracy"),
@@ -119,7 +124,7 @@ def fit_margin_classifier(
     if strength is None:
         strength = 1.0 / max(df.count(), 1)
     one = LinearSVC(
-        featuresCol=features, regParam=strength, maxIter=iterations, aggregationDepth=3, standardization=False
+        featuresCol=features, regParam=strength, maxIter=iterations, aggregationDepth=_depth(df), standardization=False
     )
     return OneVsRest(classifier=one, featuresCol=features, labelCol="label", parallelism=parallel).fit(df)
 

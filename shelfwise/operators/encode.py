@@ -18,14 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import rough_words, tokens
+from shelfwise.operators.numbering import with_row_ids
 from shelfwise.operators.vocabulary import CONTINUES, END, PAD, START, UNKNOWN
-from shelfwise.schema import KEY, TEXT
+from shelfwise.schema import TEXT
 
 MOST_SENT_ROWS = 1_000_000
 MOST_SENT_CHARS = 16_000_000
 # Fixed value: longer words are unknown in the word-piece scheme.
 LONGEST_WORD = 100
 _MEMO_WORDS = 200_000
+# A word that fills a third of all rows is met by this many tasks instead of one.
+_SALTS = 16
 
 
 def fits_sending(vocabulary: DataFrame) -> bool:
@@ -151,6 +154,13 @@ def folded(word: Column) -> Column:
     return fold_all(word)
 
 
+def _salted_join(rows: DataFrame, small: DataFrame, on: str, spread_by: Sequence[str], how: str) -> DataFrame:
+    """Join on a column with very frequent values: rows are spread, the other side is repeated."""
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(_SALTS)).cast("int")
+    repeated = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return rows.withColumn("__salt", salt).join(repeated, [on, "__salt"], how).drop("__salt")
+
+
 def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFrame:
     """``(word, pieces)`` for a table of distinct words, by joining their parts to the vocabulary.
 
@@ -160,7 +170,7 @@ def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFram
     base = words.withColumn("__folded", folded(F.col("word")))
     usable = base.filter(F.length("__folded").between(1, LONGEST_WORD))
     size = F.length("__folded")
-    parts = (
+    spots = (
         usable.select("word", "__folded", F.explode(F.sequence(F.lit(1), size)).alias("at"))
         .select("word", "__folded", "at", F.explode(F.sequence(F.lit(1), size - F.col("at") + 1)).alias("length"))
         .withColumn(
@@ -170,7 +180,10 @@ def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFram
                 F.substr("__folded", F.col("at"), F.col("length")),
             ),
         )
-        .join(vocabulary.select("token", F.col("id").cast("int")), "token")
+    )
+    known = vocabulary.select("token", F.col("id").cast("int"))
+    parts = (
+        _salted_join(spots, known, "token", ["word"], "inner")
         .groupBy("word", "at")
         .agg(F.max(F.struct("length", "id")).alias("best"))
         .groupBy("word")
@@ -202,27 +215,26 @@ def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFram
     )
 
 
-def _by_join(
-    df: DataFrame, words: Column, vocabulary: DataFrame, level: str, special: dict[str, int], keys: list[str]
-) -> DataFrame:
-    placed = df.select(*keys, F.posexplode(words).alias("at", "word"))
-    # One row per document and distinct word: repeated words join once.
-    grouped = placed.groupBy(*keys, "word").agg(F.collect_list("at").alias("ats"))
+def _by_join(rows: DataFrame, vocabulary: DataFrame, level: str, special: dict[str, int]) -> DataFrame:
+    """Rows with a fixed ``__row`` id and their ``__words``, joined to the ids of their words."""
+    placed = rows.select("__row", F.posexplode("__words").alias("at", "word"))
+    # One row per text and distinct word: repeated words join once.
+    grouped = placed.groupBy("__row", "word").agg(F.collect_list("at").alias("ats"))
     if level == "word":
         ids = vocabulary.select(F.col("token").alias("word"), F.array(F.col("id").cast("int")).alias("pieces"))
     else:
         ids = cut_words(placed.select("word").distinct(), vocabulary, special[UNKNOWN])
     unknown = F.array(F.lit(special[UNKNOWN]).cast("int"))
-    joined = grouped.join(ids, "word", "left").withColumn("pieces", F.coalesce("pieces", unknown))
+    joined = _salted_join(grouped, ids, "word", ["__row"], "left").withColumn("pieces", F.coalesce("pieces", unknown))
     spread = F.transform("ats", lambda at: F.struct(at.alias("at"), F.col("pieces").alias("pieces")))
-    rows = (
-        joined.groupBy(*keys)
+    found = (
+        joined.groupBy("__row")
         .agg(F.flatten(F.collect_list(spread)).alias("__spread"))
         .withColumn("__pieces", F.flatten(F.transform(F.array_sort("__spread"), lambda p: p["pieces"])))
         .drop("__spread")
     )
     # Texts without words have no row here and keep a null.
-    return df.join(rows, keys, "left")
+    return rows.join(found, "__row", "left").drop("__row", "__words")
 
 
 def encode(
@@ -231,14 +243,14 @@ def encode(
     max_length: int = 512,
     level: str = "piece",
     text: str = TEXT,
-    keys: Sequence[str] = (KEY,),
     route: str | None = None,
 ) -> DataFrame:
     """Replace the text by ``input_ids`` and ``attention_mask``, both ``max_length`` long.
 
     ``level`` is ``word`` (whole words) or ``piece`` (words cut into known pieces). Every word gives
     at least one id, so words beyond the length limit cannot matter and are not looked up.
-    ``route`` overrides the choice between ``lookup`` and ``join``; the join needs unique ``keys``.
+    ``route`` overrides the choice between ``lookup`` and ``join``; the join first writes the rows once
+    to give each an id.
     """
     if level not in ("word", "piece"):
         raise ValueError(f"unknown level {level}")
@@ -247,8 +259,9 @@ def encode(
     if route == "lookup":
         found, special = _by_lookup(df, words, vocabulary, level)
     else:
-        rows = vocabulary.filter(F.col("token").isin(PAD, UNKNOWN, START, END)).select("token", "id").collect()
-        special = special_ids(rows)
-        found = _by_join(df, words, vocabulary, level, special, list(keys))
+        named = vocabulary.filter(F.col("token").isin(PAD, UNKNOWN, START, END)).select("token", "id")
+        special = special_ids(named.collect())
+        rows = with_row_ids(df.withColumn("__words", words).drop(text), "__row")
+        found = _by_join(rows, vocabulary, level, special)
     ids, mask = framed(F.col("__pieces"), special, max_length)
     return found.withColumn("input_ids", ids).withColumn("attention_mask", mask).drop("__pieces", text)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from shelfwise.operators.encode import encode
 from shelfwise.operators.project import keep_columns, text_and_label, with_text
-from shelfwise.schema import KEPT, KEY
+from shelfwise.schema import KEPT
 
 
 def preprocess(
@@ -28,4 +28,4 @@ def preprocess(
     text = text_and_label(with_text(keep_columns(df, columns), style, include_key))
     if vocabulary is None:
         return text
-    return encode(text, vocabulary, max_length, level, keys=(KEY,))
+    return encode(text, vocabulary, max_length, level)

@@ -143,6 +143,15 @@ def test_random_texts_agree_between_routes(spark):
     assert arrays(encode(df, vocabulary, 20)) == arrays(encode(df, vocabulary, 20, route="join"))
 
 
+def test_join_route_keeps_rows_without_or_with_equal_keys(spark, df):
+    rows = spark.createDataFrame([(None, "the cat"), (None, "dog"), ("k", "the"), ("k", "the")], "asin string, combined_text string")
+    vocabulary = word_vocabulary(df)
+    first, second = (
+        sorted(r["input_ids"] for r in encode(rows, vocabulary, 6, "word", route=way).collect()) for way in ("lookup", "join")
+    )
+    assert first == second and len(first) == 4
+
+
 def test_preprocess_with_vocabulary(spark, df):
     raw = spark.createDataFrame([("1", "the cat", "b", "L")], "asin string, title string, brand string, main_cat string")
     got = preprocess(raw, vocabulary=piece_vocabulary(df, max_size=60), max_length=16)

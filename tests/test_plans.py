@@ -48,9 +48,9 @@ def test_top_list_is_not_a_full_sort(spark, folder, plan_of):
 def test_lookup_encoding_moves_no_rows(spark, folder, plan_of):
     rows = table(spark, folder, "documents").selectExpr("doc_id", "text as combined_text", "lang as main_cat")
     vocabulary = word_vocabulary(rows, min_count=2)
-    plan = plan_of(encode(rows, vocabulary, 64, "word", keys=("doc_id",)))
+    plan = plan_of(encode(rows, vocabulary, 64, "word"))
     assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in plan
-    joined = plan_of(encode(rows, vocabulary, 64, "word", keys=("doc_id",), route="join"))
+    joined = plan_of(encode(rows, vocabulary, 64, "word", route="join"))
     assert "Python" not in joined
 
 
