@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from shelfwise.functions.keys import digest
 from shelfwise.scratch import written
 
-# 65,536 digest ranges. Digests are uniform, so at 10**11 rows a range holds 1.5 million.
+# 65,536 digest ranges. Digests of distinct keys are uniform: at 10**11 rows a range holds 1.5 million.
 _RANGE_DIGITS = 4
+# A range far above its even share, and large, means that one key has very many rows.
+_HOT_ROWS = 1_000_000
+_HOT_FACTOR = 8
 
 
 def with_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
@@ -23,22 +26,27 @@ def with_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
 def shuffled_numbers(
     df: DataFrame, keys: str | Sequence[str], seed: int = 42, epoch: int = 0, name: str = "row_number"
 ) -> DataFrame:
-    """Number rows from 1 in digest order of their unique key.
+    """Number rows from 1 in digest order of their key.
 
     Rows are ranked inside fixed digest ranges, in parallel; a range starts after the rows of the
-    ranges before it. The range sizes come from a key-only scan with partial aggregation, and the
-    table of starts has at most 65,536 rows whatever the data, which bounds its broadcast and the
-    window that sums it. One shuffle of rows, even over the ranges.
+    ranges before it. The range sizes come from a key-only scan with partial aggregation, run at once:
+    a table of at most 65,536 rows whatever the data, which bounds its broadcast and the window that
+    sums it. Then rows are shuffled once, evenly over the ranges.
+
+    The key should be unique. If the sizes show a key with very many rows, equal keys are told apart by
+    a row id and the rows are sorted by range instead, so that no task gets all of them.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     hashed = digest(names, seed, epoch)
     ranged = F.substring(hashed, 1, _RANGE_DIGITS)
+    sizes = written(df.groupBy(ranged.alias("__range")).agg(F.count(F.lit(1)).alias("__n")), "range-sizes")
+    found = sizes.agg(F.max("__n").alias("largest"), F.sum("__n").alias("rows")).first()
+    if (found["largest"] or 0) > max(_HOT_ROWS, _HOT_FACTOR * (found["rows"] or 0) / 16**_RANGE_DIGITS):
+        told_apart = with_row_ids(df.withColumn("__digest", hashed), "__row")
+        order = [F.asc(c) for c in ("__digest", *names, "__row")]
+        return sorted_numbers(told_apart, *order, name=name).drop("__digest", "__row")
     before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        df.groupBy(ranged.alias("__range"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    )
+    starts = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     inside = W.partitionBy("__range").orderBy("__digest", *names)
     return (
         df.withColumn("__digest", hashed)

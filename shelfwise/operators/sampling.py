@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.keys import cut_point, digest
+from shelfwise.operators.numbering import shuffled_numbers
+from shelfwise.scratch import written
 
 _DIGEST_LENGTH = 32
 _STEP = 4
@@ -63,6 +65,10 @@ def with_split(
     return df.withColumn(target, split_name(digest(keys, seed), shares))
 
 
+class KeyNotUnique(ValueError):
+    """Several rows share the key at which a table was to be cut."""
+
+
 def exact_cuts(df: DataFrame, hashed: Column, sizes: Sequence[int]) -> list[str]:
     """For each size, the digest up to which exactly that many rows fall.
 
@@ -107,15 +113,30 @@ def exact_cuts(df: DataFrame, hashed: Column, sizes: Sequence[int]) -> list[str]
                 narrowed[size] = (row["__prefix"], rest - (row["__upto"] - row["__n"]))
         open_cuts = narrowed
     if open_cuts:
-        raise ValueError("key columns do not identify a row: add columns or use with_row_ids first")
+        raise KeyNotUnique("rows with equal keys cannot be cut apart by key")
     return [cuts.get(s, "") for s in sizes]
 
 
+def _exact_classes(
+    df: DataFrame, keys: str | Sequence[str], seed: int, sizes: Sequence[int]
+) -> tuple[DataFrame, list[Column]]:
+    """The table and one condition per size, true for exactly that many of its rows in digest order.
+
+    With a unique key the conditions compare digests and the table stays as it is. Where equal keys
+    straddle a cut, rows are numbered and written once, so that later readers agree on them.
+    """
+    hashed = digest(keys, seed)
+    try:
+        return df, [hashed < cut for cut in exact_cuts(df, hashed, sizes)]
+    except KeyNotUnique:
+        fixed = written(shuffled_numbers(df, keys, seed, name="__number"), "numbered")
+        return fixed, [F.col("__number") <= size for size in sizes]
+
+
 def sample_exact(df: DataFrame, fraction: float, keys: str | Sequence[str], seed: int = 42) -> DataFrame:
     """Exactly ``round(fraction * rows)`` rows, the first ones in digest order."""
-    hashed = digest(keys, seed)
-    [cut] = exact_cuts(df, hashed, [round(fraction * df.count())])
-    return df.filter(hashed < cut)
+    rows, [taken] = _exact_classes(df, keys, seed, [round(fraction * df.count())])
+    return rows.filter(taken).select(*df.columns)
 
 
 def with_exact_split(
@@ -134,9 +155,8 @@ def with_exact_split(
     total = df.count()
     test = math.ceil(test_share * total)
     val = math.ceil(val_share * (total - test)) if val_share is not None else 0
-    hashed = digest(keys, seed)
-    test_cut, val_cut = exact_cuts(df, hashed, [test, test + val])
-    name = F.when(hashed < test_cut, "test")
+    rows, [in_test, in_val] = _exact_classes(df, keys, seed, [test, test + val])
+    name = F.when(in_test, "test")
     if val_share is not None:
-        name = name.when(hashed < val_cut, "val")
-    return df.withColumn(target, name.otherwise("train"))
+        name = name.when(in_val, "val")
+    return rows.withColumn(target, name.otherwise("train")).select(*df.columns, target)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.keys import digest
 from shelfwise.operators.numbering import batches, shuffled_numbers, sorted_numbers, with_row_ids
 from shelfwise.operators.sampling import (
+    KeyNotUnique,
     exact_cuts,
     sample_exact,
     sample_share,
@@ -110,9 +111,31 @@ def test_exact_cut_goes_deep_into_a_shared_prefix(spark):
         assert sorted(r["id"] for r in df.filter(F.col("d") < cut).collect()) == list(range(size))
 
 
-def test_exact_cut_needs_a_row_key(spark):
-    copies = spark.createDataFrame([("k",)] * 10, "k string")
-    with pytest.raises(ValueError, match="do not identify"):
-        sample_exact(copies, 0.5, "k")
+def test_equal_keys_are_cut_exactly_all_the_same(spark):
+    """A third of the rows share one key, some rows have none."""
+    key = F.when(F.col("id") < 100, F.lit("hot")).when(F.col("id") > 290, F.lit(None)).otherwise(F.col("id").cast("string"))
+    rows = spark.range(300).withColumn("k", key)
+    for share in (0.1, 0.5, 0.9):
+        assert sample_exact(rows, share, "k").count() == round(share * 300)
+    split = with_exact_split(rows, "k")
+    assert split.columns == ["id", "k", "split"]
+    counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    assert counts == {"test": 60, "val": 48, "train": 192}
+    ids = {s: {r["id"] for r in split.filter(F.col("split") == s).collect()} for s in counts}
+    assert sum(map(len, ids.values())) == len(set.union(*ids.values())) == 300
+
+
+def test_cut_refuses_impossible_sizes(spark):
+    with pytest.raises(KeyNotUnique):
+        exact_cuts(spark.createDataFrame([("k",)] * 10, "k string"), digest("k"), [5])
     with pytest.raises(ValueError, match="fewer"):
         exact_cuts(spark.range(3), digest("id"), [4])
+
+
+def test_hot_key_is_numbered_in_the_same_order(spark, table, monkeypatch):
+    expected = pairs(shuffled_numbers(table, "g").groupBy("g").agg(F.min("row_number").alias("n"), F.max("g").alias("id")), "n")
+    monkeypatch.setattr("shelfwise.operators.numbering._HOT_ROWS", 100)
+    hot = shuffled_numbers(table, "g")
+    assert sorted(r["row_number"] for r in hot.collect()) == list(range(1, ROWS + 1))
+    assert pairs(hot.groupBy("g").agg(F.min("row_number").alias("n"), F.max("g").alias("id")), "n") == expected
+    assert hot.columns == ["id", "g", "row_number"]
