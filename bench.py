@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the number of local threads. Each query is run
-to the last row into Spark's no-op sink; the better of two runs counts. ``--row-udfs`` also times
+to the last row into Spark's no-op sink; the best of three runs counts. ``--row-udfs`` also times
 three operators written as row-at-a-time Python UDFs, for comparison.
 """
 
@@ -87,9 +87,9 @@ def row_udfs(spark: SparkSession, folder: str) -> dict[str, float]:
 
     encoded = F.udf(ids_of, "array<array<int>>")
     return {
-        "text_listed": best_of(2, lambda: drain(rows.select("asin", joined(*rows.columns)))),
-        "words_counted": best_of(2, lambda: drain(texts.select("doc_id", count(TEXT)))),
-        "pieces_encoded": best_of(2, lambda: drain(texts.select("doc_id", encoded(TEXT)))),
+        "text_listed": best_of(3, lambda: drain(rows.select("asin", joined(*rows.columns)))),
+        "words_counted": best_of(3, lambda: drain(texts.select("doc_id", count(TEXT)))),
+        "pieces_encoded": best_of(3, lambda: drain(texts.select("doc_id", encoded(TEXT)))),
     }
 
 
@@ -101,7 +101,7 @@ def main() -> None:
     drain(QUERIES["text_length_by_label"](spark, folder))  # warm-up
     times = {}
     for name in names:
-        times[name] = best_of(2, lambda: drain(QUERIES[name](spark, folder)))
+        times[name] = best_of(3, lambda: drain(QUERIES[name](spark, folder)))
         print(f"{name:24} {times[name]:8.3f}", file=sys.stderr, flush=True)
     out = {
         "metric": "headline_queries_total",

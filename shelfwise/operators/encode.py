@@ -61,6 +61,8 @@ def framed(pieces: Column, special: dict[str, int], max_length: int) -> tuple[Co
 
 def fold(word: str) -> str:
     """Lower case without accents."""
+    if word.isascii():
+        return word.lower()
     apart = unicodedata.normalize("NFD", word.lower())
     return "".join(c for c in apart if unicodedata.category(c) != "Mn")
 
