@@ -631,12 +631,12 @@ def train_label_counts(spark: SparkSession, folder: str) -> DataFrame:
     return group_count(rows.select(F.col(LABEL).alias("label")), "label")
 
 
-@query("SELECT count(*) AS rows, round(sum(value), 4) AS total_loss, round(avg(value), 6) AS mean_loss FROM events")
+@query("SELECT count(*) AS rows, round(sum(value), 4) AS total_loss, round(avg(value), 9) AS mean_loss FROM events")
 def losses_averaged(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").agg(
         F.count(F.lit(1)).alias("rows"),
         F.round(F.sum("value"), 4).alias("total_loss"),
-        F.round(F.avg("value"), 6).alias("mean_loss"),
+        F.round(F.avg("value"), 9).alias("mean_loss"),
     )
 
 
@@ -696,21 +696,21 @@ steps AS (SELECT batch, avg(value) AS loss, avg(CASE WHEN event_type = 'click' T
 running AS (SELECT batch, max(batch) OVER () AS last_batch,
                    avg(loss) OVER (ORDER BY batch ROWS UNBOUNDED PRECEDING) AS loss,
                    avg(accuracy) OVER (ORDER BY batch ROWS UNBOUNDED PRECEDING) AS accuracy FROM steps)
-SELECT batch AS step, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy FROM running
+SELECT batch AS step, round(loss, 9) AS loss, round(accuracy, 9) AS accuracy FROM running
 WHERE (batch + 1) % 100 = 0 OR batch = last_batch"""
 )
 def running_step_metrics(spark: SparkSession, folder: str) -> DataFrame:
     found = metrics.running_means(_training_steps(spark, folder), "loss", "accuracy")
-    return found.select("step", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
+    return _rounded(found, "loss", "accuracy")
 
 
 @query(
-    f"""WITH {_STEPS_SQL} SELECT count(*) AS batches, round(avg(loss), 6) AS loss, round(avg(accuracy), 6) AS accuracy
+    f"""WITH {_STEPS_SQL} SELECT count(*) AS batches, round(avg(loss), 9) AS loss, round(avg(accuracy), 9) AS accuracy
 FROM steps"""
 )
 def epoch_metrics(spark: SparkSession, folder: str) -> DataFrame:
     found = metrics.mean_of_batches(_training_steps(spark, folder), "loss", "accuracy")
-    return found.withColumns({c: F.round(c, 6) for c in ("loss", "accuracy")})
+    return _rounded(found, "loss", "accuracy")
 
 
 # --- sorts, limits, samples, splits --------------------------------------------------------------

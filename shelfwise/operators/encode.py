@@ -22,8 +22,9 @@ from shelfwise.operators.numbering import with_row_ids
 from shelfwise.operators.vocabulary import CONTINUES, END, PAD, START, UNKNOWN
 from shelfwise.schema import TEXT
 
-MOST_SENT_ROWS = 1_000_000
-MOST_SENT_CHARS = 16_000_000
+# Every Python worker holds the vocabulary: some 50 MB at these bounds.
+MOST_SENT_ROWS = 300_000
+MOST_SENT_CHARS = 6_000_000
 # Fixed value: longer words are unknown in the word-piece scheme.
 LONGEST_WORD = 100
 _MEMO_WORDS = 200_000

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import tokens
@@ -29,15 +28,13 @@ def token_counts(df: DataFrame, text: str = TEXT, min_count: int = 1) -> DataFra
 def ranked(counts: DataFrame, max_size: int | None = None) -> DataFrame:
     """``(token, n, id)`` in descending frequency, ids after the special tokens.
 
-    ``max_size`` is the size of the vocabulary, special tokens included: only that many rows are
-    sorted into one task. Without it the whole table is numbered by parallel range sort.
+    ``max_size`` is the size of the vocabulary, special tokens included. Ranks come from a parallel
+    range sort of the counted tokens, a table far smaller than the texts. A sort with a limit would
+    send up to ``max_size`` rows of every task to a single one.
     """
-    order = (F.desc("n"), F.asc("token"))
-    if max_size is None:
-        numbered = sorted_numbers(counts, *order, name="__rank")
-    else:
-        top = counts.orderBy(*order).limit(max_size - len(SPECIAL))
-        numbered = top.withColumn("__rank", F.row_number().over(W.orderBy(*order)))
+    numbered = sorted_numbers(counts, F.desc("n"), F.asc("token"), name="__rank")
+    if max_size is not None:
+        numbered = numbered.filter(F.col("__rank") <= max_size - len(SPECIAL))
     first = len(SPECIAL) - 1
     return numbered.select("token", "n", (F.col("__rank") + first).cast("bigint").alias("id"))
 

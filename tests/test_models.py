@@ -58,7 +58,8 @@ def test_width_is_checked(spark, monkeypatch, matrix):
 def test_margin_classifier_separates(spark):
     rows = [(float(c), [c * 4.0 + d, (c % 2) * 4.0 - d]) for c in range(3) for d in (0.0, 0.3, 0.6, 0.9)]
     df = spark.createDataFrame(rows, "label double, v array<double>").select("label", id_features(F.col("v")).alias("projected"))
-    found = fit_margin_classifier(df, strength=0.001, iterations=20).transform(df)
+    df = df.coalesce(1)
+    found = fit_margin_classifier(df, strength=0.001, iterations=8).transform(df)
     assert found.filter(F.col("prediction") == F.col("label")).count() >= 10
 
 
@@ -114,6 +115,6 @@ def test_linear_baseline(spark):
     chance = np.random.default_rng(1)
     rows = [(i, "ab"[i % 2], (chance.normal(size=6) + (i % 2) * 4).tolist()) for i in range(60)]
     df = spark.createDataFrame(rows, "asin int, main_cat string, input_ids array<double>")
-    done = linear_baseline(df, 2, 0.01, ["a", "b"], fraction=0.5, iterations=10)
+    done = linear_baseline(df, 2, 0.01, ["a", "b"], fraction=0.5, iterations=5)
     assert done.predictions.count() == 6 and done.accuracy.first()["accuracy"] >= 0.5
     assert done.report.count() >= 4 and done.confusion.count() >= 1
