@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import exact_dedup, license_scan, line_dedup, sharding
+from shelfwise.llm import decontaminate, exact_dedup, license_scan, line_dedup, packing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,3 +72,18 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its licence phrases and notices."""
     return license_scan.scan_licenses(documents(spark, folder))
+
+
+@query()
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its hit words and the benchmark items whose windows occur in it."""
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontaminate.judged(decontaminate.find_contamination(documents(spark, folder), items))
+    listed = F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
+
+
+@query()
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document in a sequence of at most 2048 ids."""
+    return packing.pack(documents(spark, folder))
