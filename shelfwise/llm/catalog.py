@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontaminate, exact_dedup, license_scan, line_dedup, packing, sharding
+from shelfwise.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    license_scan,
+    line_dedup,
+    packing,
+    sharding,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +96,16 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document in a sequence of at most 2048 ids."""
     return packing.pack(documents(spark, folder))
+
+
+@query()
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from four folds of five."""
+    return language_id.identify(documents(spark, folder))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learned from four folds of five."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.score_documents(documents(spark, folder), labels).drop("segments")

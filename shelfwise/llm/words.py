@@ -48,6 +48,23 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return run(_ODD), run(pow(_ODD, -1, 2**64))
 
 
+def span_hashes(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans, which are in order of their starts and do not overlap."""
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    at = 0
+    while at < len(starts):
+        base = starts[at]
+        upto = max(at + 1, int(np.searchsorted(ends, base + _SEGMENT, "right")))
+        last = ends[upto - 1]
+        power, inverse = _powers(max(_SEGMENT, 1 << int(last - base).bit_length()))
+        sums = np.zeros(last - base + 1, dtype=np.uint64)
+        np.cumsum(folded[base:last] * power[: last - base], out=sums[1:])
+        s, e = starts[at:upto] - base, ends[at:upto] - base
+        hashes[at:upto] = (sums[e] - sums[s]) * inverse[s]
+        at = upto
+    return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(_ODD))
+
+
 @dataclass
 class Words:
     hashes: np.ndarray
@@ -88,19 +105,7 @@ def words_of(texts: pa.Array, table: np.ndarray = SPACED) -> Words:
     # between byte i-1 and byte i: a word starts, or one ends
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | row_start))
     ends = np.flatnonzero(inside[:-1] & (~inside[1:] | row_start))
-    hashes = np.empty(len(starts), dtype=np.uint64)
-    at = 0
-    while at < len(starts):
-        base = starts[at]
-        upto = max(at + 1, int(np.searchsorted(ends, base + _SEGMENT, "right")))
-        last = ends[upto - 1]
-        power, inverse = _powers(max(_SEGMENT, 1 << int(last - base).bit_length()))
-        sums = np.zeros(last - base + 1, dtype=np.uint64)
-        np.cumsum(folded[base:last] * power[: last - base], out=sums[1:])
-        s, e = starts[at:upto] - base, ends[at:upto] - base
-        hashes[at:upto] = (sums[e] - sums[s]) * inverse[s]
-        at = upto
-    hashes = mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(_ODD))
+    hashes = span_hashes(folded, starts, ends)
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets), data, offsets)
 
 
