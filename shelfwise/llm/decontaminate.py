@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.folds import row_key, without_rows
 from shelfwise.llm.words import LETTERED, joined, pieces, words_of
 from shelfwise.scratch import scratch_path, written
 
@@ -277,9 +278,9 @@ def judged(found: DataFrame) -> DataFrame:
 
 def without_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, whole and with all their columns."""
-    bad = judged(find_contamination(docs, items, window)).filter("contaminated").select("doc_id").distinct()
-    bad = written(bad, "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    keyed = docs.select(row_key().alias("doc_id"), "text")
+    bad = judged(find_contamination(keyed, items, window)).filter("contaminated")
+    return without_rows(docs, written(bad.select(F.col("doc_id").alias("row_key")).distinct(), "contaminated"))
 
 
 def cut(text: str | None, spans: list[tuple[int, int]]) -> str | None:

@@ -20,3 +20,13 @@ def bounded_sample(rows: DataFrame, label: str, key: str, most_rows: int) -> Dat
     share = counts.select(F.col(label), (F.lit(float(most_rows)) / F.col("_rows")).alias("_share"))
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(7), key), 11).cast("double") / F.lit(float(2**53))
     return rows.join(share, label).filter(drawn < F.col("_share")).drop("_share")
+
+
+def row_key() -> Column:
+    """A hash of a document's id and text: the same for repeated rows only."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` with all columns, but for the rows whose key is in ``gone`` (``row_key``)."""
+    return docs.join(gone, F.xxhash64(docs["doc_id"], docs["text"]) == gone["row_key"], "left_anti")

@@ -7,7 +7,7 @@ nested by those proportions and chosen by likelihood less a penalty for each fur
 language with the largest share in the chosen set is the prediction, its share the score.
 
 The counts come from a bounded sample of labelled rows: about ``SAMPLE_ROWS`` of each language.
-The model has ``BINS`` rows for each language and may be sent to tasks for up to ``MOST_LANGUAGES``.
+The model has ``BINS`` rows for each language and may be sent to tasks for up to ``MOST_LABELS`` of them.
 
 Defined cases: null texts and texts without letters are ``und`` with score 0, as are all texts
 where nothing was learned; labels of null count as none; repeated rows are judged alike.
@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.folds import bounded_sample, fold
+from shelfwise.llm.folds import bounded_sample, fold, row_key, without_rows
 from shelfwise.llm.words import buffers, pieces
+from shelfwise.scratch import written
 
 SAMPLE_ROWS = 2000
 BINS = 1 << 15
-MOST_LANGUAGES = 200
 SMOOTHING, ROUNDS, PENALTY = 2.0, 10, 2.0
 UNKNOWN = "und"
 
@@ -158,9 +158,6 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     summed = (
         learned.select("lang", "text").mapInArrow(count, "lang STRING, slot BIGINT, n BIGINT").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     )
-    languages = docs.filter(F.col("lang").isNotNull()).select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
-    if languages > MOST_LANGUAGES:
-        raise ValueError(f"over {MOST_LANGUAGES} languages: the model would outgrow what may be sent to tasks")
     found = summed.toArrow()
     langs = np.array(found.column("lang").to_pylist(), dtype=object)
     names = sorted(set(langs.tolist()))
@@ -219,3 +216,12 @@ def identify(docs: DataFrame, folds: int = 5, sample_rows: int = SAMPLE_ROWS) ->
     """Learn from all folds but the first, then predict every document."""
     split = docs.withColumn("held_out", fold("doc_id", folds) == 0)
     return predict(split, fit(split.filter(~F.col("held_out")), sample_rows))
+
+
+def with_language(docs: DataFrame, least_share: float, folds: int = 5) -> DataFrame:
+    """The documents with a language that holds ``least_share`` of the text, with all their columns."""
+    split = docs.withColumn("_held_out", fold("doc_id", folds) == 0)
+    keyed = split.select(row_key().alias("doc_id"), F.col("_held_out").alias("held_out"), "text")
+    found = predict(keyed, fit(split.filter(~F.col("_held_out"))))
+    rejected = found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least_share))
+    return without_rows(docs, written(rejected.select(F.col("doc_id").alias("row_key")).distinct(), "rejected"))
