@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from shelfwise.llm import (
     decontaminate,
     exact_dedup,
+    interpolated_lm,
     language_id,
     license_scan,
     line_dedup,
+    ngram_join,
     packing,
     sharding,
     toxicity,
@@ -109,3 +111,15 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """The toxicity of every document, learned from four folds of five."""
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return toxicity.score_documents(documents(spark, folder), labels).drop("segments")
+
+
+@query()
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the smallest doc_id it reaches by links of similar shingle sets."""
+    return ngram_join.similar_groups(documents(spark, folder))
+
+
+@query()
+def op5_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log-probability, learned from nine folds of ten."""
+    return interpolated_lm.score_documents(documents(spark, folder))
