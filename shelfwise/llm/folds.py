@@ -11,15 +11,24 @@ def fold(key: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % folds
 
 
+#: Labels whose shares may be listed in the plan.
+MOST_LABELS = 200
+
+
 def bounded_sample(rows: DataFrame, label: str, key: str, most_rows: int) -> DataFrame:
     """About ``most_rows`` rows of each label (all rows of smaller ones), chosen by a hash of the key.
 
-    The labels' counts are few rows: a table of shares is broadcast only while labels are few.
+    The labels' shares are written into the filter, so no row is moved; over ``MOST_LABELS`` labels
+    are an error.
     """
-    counts = rows.groupBy(label).agg(F.count("*").alias("_rows"))
-    share = counts.select(F.col(label), (F.lit(float(most_rows)) / F.col("_rows")).alias("_share"))
+    counts = rows.groupBy(label).agg(F.count("*").alias("n")).limit(MOST_LABELS + 1).collect()
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"over {MOST_LABELS} labels: the model would outgrow what may be sent to tasks")
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(7), key), 11).cast("double") / F.lit(float(2**53))
-    return rows.join(share, label).filter(drawn < F.col("_share")).drop("_share")
+    chosen = F.lit(False)
+    for r in counts:
+        chosen = chosen | ((F.col(label) == F.lit(r[label])) & (drawn < most_rows / r["n"]))
+    return rows.filter(chosen)
 
 
 def row_key() -> Column:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.folds import bounded_sample, fold
 from shelfwise.llm.words import LETTERED, Words, mix, pieces, span_hashes, words_of
+from shelfwise.scratch import written
 
 SAMPLE_ROWS = 20_000
 SUPPORT = 5
@@ -224,14 +225,20 @@ def calibrated(model: Model, toxic: np.ndarray, best: np.ndarray, sizes: np.ndar
     return model
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """``labelled``: doc_id, text, toxic. Three quarters make the token table, the rest the curve."""
-    rows = labelled.filter(F.col("toxic").isNotNull()).select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
-    counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+    """``labels``: doc_id, toxic. Three quarters of the sample make the token table, the rest the curve.
+
+    The sample is drawn from the labels alone, two bounded lists of ids, so that it can be broadcast
+    to where the texts lie.
+    """
+    marks = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+    marks = marks.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    counts = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.0
+    sample = written(bounded_sample(marks, "toxic", "doc_id", sample_rows), "toxic-sample")
     part = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(4))
-    drawn = bounded_sample(rows, "toxic", "doc_id", sample_rows).withColumn("part", part)
+    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("part", part)
     if 0 in counts and 1 in counts:
         model = token_table(drawn.filter("part > 0"))
         toxic, best, sizes = _bests(drawn.filter("part = 0"), model)
@@ -277,5 +284,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def score_documents(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Learn from the labels of all folds but the first, then score every document."""
     split = docs.select("doc_id", "text").withColumn("held_out", fold("doc_id", folds) == 0)
-    marks = labels.filter((fold("doc_id", folds) != 0) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
-    return score(split, fit(split.join(marks, "doc_id").select("doc_id", "text", "toxic"), sample_rows))
+    return score(split, fit(split, labels.filter(fold("doc_id", folds) != 0), sample_rows))
