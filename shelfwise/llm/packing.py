@@ -34,7 +34,9 @@ LENGTH = 2048
 END = 1
 GROUP_ROWS = 4096
 # Beyond so many stretches all are forgotten before the next texts.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
+# The tokenizer's results are large; so many stretches are held in that form.
+ENCODED_AT_ONCE = 4096
 
 PIECES = "doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, deal BIGINT"
 PLACED = "doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, sequence_id BIGINT, `offset` BIGINT"
@@ -51,9 +53,10 @@ class Encoder:
         self.known: dict[str, bytes] = {"": b""}
 
     def _learn(self, stretches: list[str]) -> None:
-        encoded = self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)
-        for stretch, e in zip(stretches, encoded):
-            self.known[stretch] = np.array(e.ids, dtype="<u4").tobytes()
+        for at in range(0, len(stretches), ENCODED_AT_ONCE):
+            some = stretches[at : at + ENCODED_AT_ONCE]
+            for stretch, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[stretch] = np.array(e.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
@@ -89,7 +92,7 @@ def cut_pieces(docs: DataFrame, length: int = LENGTH, end: int = END, tokenizer:
         encoder = _encoder(_file(name))
         last = np.array([end], dtype="<u4").tobytes()
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 23):
+            for batch in pieces(whole, "text", 1 << 21):
                 rows = []
                 for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                     ids = memoryview(ids + last)
