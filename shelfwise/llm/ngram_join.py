@@ -11,7 +11,8 @@
 5. Tiles that still hold several components compare the rest: bitmaps of hashed shingles bound the
    overlap from above (a bit set in one only is a shingle the other lacks), and pairs that pass
    are settled by exact intersection of the sorted sets. Tiles with many members are cut into a
-   grid of cells of bounded size. Pairs inside one component need no comparison.
+   grid of cells of bounded size. Pairs inside one component need no comparison, and a pair that
+   meets in several tiles is given by the first of them alone.
 6. Components come from the exact links.
 
 Nothing is capped: every pair that can be alike is compared or already connected.
@@ -39,6 +40,8 @@ from shelfwise.scratch import written
 K, PERCENT = 5, 75
 # Shingles counted together in one task, members of a tile's cell, and words of a needed-filter.
 PART_SHINGLES, CELL_MEMBERS, FILTER_WORDS = 2_000_000, 400, 1 << 18
+# Tiles of a cell's members looked at together, and bitmap words compared together.
+TILES_AT_ONCE, WORDS_AT_ONCE = 1024, 1 << 21
 
 SETS = "doc_id BIGINT, row_key BIGINT, n BIGINT, class BIGINT, bits BINARY"
 PACKED = "part INT, hashes BINARY, places BINARY, classes BINARY, sizes BINARY"
@@ -198,6 +201,28 @@ def _folded(bits: list[bytes]) -> np.ndarray:
     return out
 
 
+def _met_before(tiles: pa.ListArray, tile: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which pairs meet in a tile of a smaller code too, where one of the two is at home.
+
+    ``tiles``: the codes of each member's tiles, odd where it is at home.
+    """
+    codes, rows = tiles.flatten().to_numpy(), np.repeat(np.arange(len(tiles)), tiles.value_lengths().to_numpy())
+    earlier = (codes & ~1) < tile
+    codes, rows = codes[earlier], rows[earlier]
+    at, held = np.unique(codes & ~1, return_inverse=True, return_counts=True)[1:]
+    shared = held[at] > 1
+    codes, rows, at = codes[shared], rows[shared], np.unique(at[shared], return_inverse=True)[1]
+    met = np.zeros((len(one), len(two)), bool)
+    for low in range(0, int(at.max()) + 1 if len(at) else 0, TILES_AT_ONCE):
+        some = (at >= low) & (at < low + TILES_AT_ONCE)
+        there = np.zeros((len(tiles), TILES_AT_ONCE), np.float32)
+        there[rows[some], at[some] - low] = 1
+        home = there.copy()
+        home[rows[some], at[some] - low] = codes[some] & 1
+        met |= (home[one] @ there[two].T + there[one] @ home[two].T) > 0
+    return met
+
+
 def rest_pairs(tiles: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that the bitmaps cannot rule out, from tiles with several."""
     part_of = tiles.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
@@ -209,17 +234,20 @@ def rest_pairs(tiles: DataFrame, sets: DataFrame, found: DataFrame, percent: int
         F.sum(F.xxhash64("class", "home").cast("decimal(20,0)")).alias("same"),
     )
     several = held.filter("low <> high AND home").groupBy("band", "members", "same").agg(F.min("token").alias("token"))
+    code = F.xxhash64("token", "band").bitwiseAND(F.lit(-2)).alias("tile")
+    met = part_of.join(several.select("token", "band", "members"), ["token", "band"])
+    met = written(met.select("token", "band", "home", "class", "n", "component", "members", code), "members")
+    theirs = met.groupBy("class").agg(F.collect_list(F.col("tile") + F.col("home").cast("bigint")).alias("tiles"))
     cells = F.greatest(F.lit(1), F.ceil(F.col("members") / CELL_MEMBERS)).cast("int")
     mine = F.pmod(F.xxhash64("class"), cells).cast("int")
     grid = (
-        part_of.join(several.select("token", "band", "members"), ["token", "band"])
-        .withColumn("mine", mine)
+        met.withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), cells - 1)))
         .select(
-            "token", "band", "home", "class", "n", "component", "mine",
+            "token", "band", "tile", "home", "class", "n", "component", "mine",
             F.least("mine", "other").alias("row"), F.greatest("mine", "other").alias("column"),
         )
-        .join(sets.select("class", "bits"), "class")
+        .join(sets.select("class", "bits").join(theirs, "class"), "class")
     )
 
     def compare(table: pa.Table) -> pa.Table:
@@ -228,21 +256,19 @@ def rest_pairs(tiles: DataFrame, sets: DataFrame, found: DataFrame, percent: int
         kind, n, part, mine = (table.column(c).to_numpy() for c in ("class", "n", "component", "mine"))
         bits = _folded(table.column("bits").to_pylist())
         one, two = np.flatnonzero(mine == row), np.flatnonzero(mine == column)
-        a, b = [], []
-        for i in range(0, len(one), 64):
-            x = one[i : i + 64]
-            if not len(two):
-                break
-            near = _close(bits[x], bits[two], n[x], n[two], percent)
-            near &= (part[x][:, None] != part[two][None, :]) & (home[x][:, None] | home[two][None, :])
-            p, q = np.nonzero(near)
-            a.append(kind[x[p]])
-            b.append(kind[two[q]])
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
+        near = (part[one][:, None] != part[two][None, :]) & (home[one][:, None] | home[two][None, :])
+        step = max(1, WORDS_AT_ONCE // max(1, len(two) * bits.shape[1]))
+        for i in range(0, len(one), step):
+            x = one[i : i + step]
+            near[i : i + step] &= _close(bits[x], bits[two], n[x], n[two], percent)
+        if near.any():
+            near &= ~_met_before(table.column("tiles").combine_chunks(), table.column("tile")[0].as_py(), one, two)
+        p, q = np.nonzero(near)
+        a, b = kind[one[p]], kind[two[q]]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    return grid.groupBy("token", "band", "row", "column").applyInArrow(compare, PAIRS).distinct()
+    return grid.groupBy("token", "band", "row", "column").applyInArrow(compare, PAIRS)
 
 
 def _needed(pairs: DataFrame) -> np.ndarray:
