@@ -34,7 +34,7 @@ from shelfwise.llm.folds import fold
 from shelfwise.llm.words import SPACED, joined, pieces, words_of
 from shelfwise.scratch import written
 
-BLOCK_BYTES, PART_TOKENS = 1 << 24, 2_000_000
+BLOCK_BYTES, PART_TOKENS = 1 << 22, 1_000_000
 BUCKETS, GRID, ROUNDS = 40, 4, 60
 
 # Hashes of what is not a word.
