@@ -39,7 +39,7 @@ from shelfwise.scratch import written
 
 K, PERCENT = 5, 75
 # Shingles counted together in one task, members of a tile's cell, and words of a needed-filter.
-PART_SHINGLES, CELL_MEMBERS, FILTER_WORDS = 2_000_000, 400, 1 << 18
+PART_SHINGLES, CELL_MEMBERS, FILTER_WORDS = 1_000_000, 400, 1 << 18
 # Tiles of a cell's members looked at together, and bitmap words compared together.
 TILES_AT_ONCE, WORDS_AT_ONCE = 1024, 1 << 21
 
@@ -76,7 +76,7 @@ def bitmap(grams: np.ndarray) -> bytes:
 def document_sets(docs: DataFrame, k: int = K) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 23):
+            for batch in pieces(whole, "text", 1 << 22):
                 grams, bounds, classes = sets_of(batch.column(2), k)
                 bits = [bitmap(grams[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
                 columns = [*batch.columns[:2], pa.array(np.diff(bounds)), pa.array(classes), pa.array(bits, pa.binary())]
@@ -90,7 +90,7 @@ def packed_shingles(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 24):
+            for batch in pieces(whole, "text", 1 << 23):
                 grams, bounds, classes = sets_of(batch.column(0), k)
                 _, first = np.unique(classes, return_index=True)
                 kept = np.zeros(batch.num_rows, bool)
@@ -292,7 +292,7 @@ def exact_links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         needed = sent.value
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 23):
+            for batch in pieces(whole, "text", 1 << 22):
                 grams, bounds, classes = sets_of(batch.column(0), k)
                 bit = (classes % (FILTER_WORDS * 64)).astype(np.uint64)
                 wanted = (needed[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)

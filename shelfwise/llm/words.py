@@ -7,6 +7,7 @@ depends on the word alone. Two different words share a hash with a chance of abo
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -132,6 +133,14 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([grams[whole], extra]), np.concatenate([rows[: len(grams)][whole], short])
 
 
+def release_memory() -> None:
+    """Give back to the system what freed arrays leave with the allocators; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 24):
     """``batch`` in slices of about ``most_bytes`` of text; a longer row is a slice of its own."""
     _, offsets = buffers(batch.column(batch.schema.get_field_index(column)))
@@ -140,3 +149,4 @@ def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 24):
         upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most_bytes, "right")) - 1)
         yield batch.slice(at, upto - at)
         at = upto
+    release_memory()
