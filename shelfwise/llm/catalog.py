@@ -17,6 +17,8 @@ from shelfwise.llm import (
     ngram_join,
     packing,
     sharding,
+    token_alignment,
+    token_counts,
     toxicity,
 )
 
@@ -123,3 +125,15 @@ def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 def op5_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's log-probability, learned from nine folds of ten."""
     return interpolated_lm.score_documents(documents(spark, folder))
+
+
+@query()
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's bytes and tokens, and whether it has more than 512."""
+    return token_counts.count_tokens(documents(spark, folder))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's groups and links between two tokenizers, and how its links stand in the corpus."""
+    return token_alignment.align(documents(spark, folder))
