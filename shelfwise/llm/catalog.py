@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
+    ball_tree,
     decontaminate,
     exact_dedup,
     interpolated_lm,
@@ -137,3 +138,32 @@ def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's groups and links between two tokenizers, and how its links stand in the corpus."""
     return token_alignment.align(documents(spark, folder))
+
+
+@query(
+    """
+    WITH terms AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+    wanted AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+    lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+    corpus AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+    times AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+        FROM times, corpus GROUP BY term, n_docs),
+    parts AS (
+        SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))) AS part
+        FROM times JOIN weights USING (term) JOIN lengths USING (doc_id), corpus),
+    scores AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM wanted JOIN parts USING (term) GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """
+)
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ball_tree.search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))

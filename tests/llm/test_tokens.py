@@ -18,6 +18,8 @@ from tests.llm.conftest import ODD
 
 A = public_tokenizers.path("byte_bpe_50k.json")
 B = public_tokenizers.path("piece_bpe_32k.model")
+WHOLE, PLAIN = Tokenizer.from_file(A), Tokenizer.from_file(A)
+PLAIN.encode_special_tokens = True
 PARTS = ["a", "the", " ", "  ", "\n", "\t", "\xa0", "　", "\x1c", "\x85", "it's", "'", "12", "9x", "日本", "É", "é", "​", "😀", ".", "!?", "<|endoftext|>", "<s>", "\x00", "\r\n", " ", "ñoqui", "_", "᠎", "½", "Ⅷ"]
 TEXTS = st.lists(st.sampled_from(PARTS), max_size=25).map("".join)
 
@@ -25,25 +27,22 @@ TEXTS = st.lists(st.sampled_from(PARTS), max_size=25).map("".join)
 @given(st.lists(st.one_of(TEXTS, st.text(max_size=20)), max_size=8))
 @settings(max_examples=400, deadline=None)
 def test_counts_of_stretches(texts):
-    whole = Tokenizer.from_file(A)
     got = token_counts.token_counts([*texts, None], A).tolist()
-    assert got == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts] + [0]
+    assert got == [len(WHOLE.encode(t, add_special_tokens=False).ids) for t in texts] + [0]
     assert all("".join(stretches_of(t)) == t for t in texts)
 
 
 def test_long_stretches():
     draw = random.Random(1)
     texts = ["".join(draw.choice(["ab", "12", "\n", ".", "é", "\n\n", "\t"]) for _ in range(9000)), "x" * 30000, "\n" * 9000, " " * 9000]
-    whole = Tokenizer.from_file(A)
-    assert token_counts.token_counts(texts, A).tolist() == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert token_counts.token_counts(texts, A).tolist() == [len(WHOLE.encode(t, add_special_tokens=False).ids) for t in texts]
     assert max(map(len, stretches_of(texts[0]))) < token_counts.LONG
 
 
 def test_token_counts(rows):
     pairs = [*ODD, (50, "<|endoftext|> and it's  two"), (51, "a " * 600)]
     got = count_tokens(rows(pairs, True)).collect()
-    whole = Tokenizer.from_file(A)
-    size = lambda t: len(whole.encode(t or "", add_special_tokens=False).ids)
+    size = lambda t: len(WHOLE.encode(t or "", add_special_tokens=False).ids)
     expected = Counter((i, len((t or "").encode()), size(t), size(t) > 512) for i, t in pairs)
     assert Counter(map(tuple, got)) == expected
     assert count_tokens(rows([])).count() == 0
@@ -92,8 +91,7 @@ def test_shared_ends(stretches, lane):
 
 def brute(texts):
     """Ids of whole texts, and groups cut where both sides' joined bytes are equally long."""
-    left, right = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
-    left.encode_special_tokens = True
+    left, right = PLAIN, sentencepiece.SentencePieceProcessor(model_file=B)
     byte = token_alignment._byte_of_character()
     out, count = [], Counter()
     for t in texts:
