@@ -7,7 +7,7 @@ tree holds the largest room of every range of sequences, so the first that fits
 root down. Only lengths and ids of pieces are shuffled, never ids or texts.
 
 Text is encoded in stretches between blanks and line ends, which the tokenizer never joins; the ids
-of a stretch are remembered for a while, as most stretches repeat.
+of the stretches most used are remembered, as most stretches repeat. Stretches are told apart by 64-bit hashes.
 
 Defined cases: null is empty and packs its end id alone; a document of any length is cut; equal
 lengths are taken by document, start and checksum; repeated rows are packed each; an empty table
@@ -27,45 +27,87 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.words import pieces
+from shelfwise.llm.stretches import Remembered, spans_as_text, sums_by_row, tokenizer_file
+from shelfwise.llm.words import BLANKS, pieces, words_of
 from shelfwise.scratch import written
 
 LENGTH = 2048
 END = 1
 GROUP_ROWS = 4096
-# Beyond so many stretches all are forgotten before the next texts.
-REMEMBERED = 100_000
-# The tokenizer's results are large; so many stretches are held in that form.
-ENCODED_AT_ONCE = 4096
+# Marks that may follow a run of letters, in a pre-token of their own.
+MARKS = ".,;:!?"
+# Runs of letters encoded in one text; strings of marks that are remembered.
+JOINED, MOST_MARKS = 1000, 10_000
 
 PIECES = "doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, deal BIGINT"
 PLACED = "doc_id BIGINT, start BIGINT, length BIGINT, ids_crc32 BIGINT, doc_tokens BIGINT, sequence_id BIGINT, `offset` BIGINT"
 
 
 class Encoder:
-    """Texts to little-endian 32-bit ids."""
+    """Texts to ids, by stretches between blanks and line ends.
+
+    Most stretches are one run of letters with marks behind it: a pre-token of its own and the marks'
+    pre-token. Such runs are remembered apart from their marks and encoded many in one text; as each
+    pre-token's last id closes a word, the ids are told apart by it.
+    """
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _learn(self, stretches: list[str]) -> None:
-        for at in range(0, len(stretches), ENCODED_AT_ONCE):
-            some = stretches[at : at + ENCODED_AT_ONCE]
-            for stretch, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[stretch] = np.array(e.ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
-        self._learn(list({s for stretches in split for s in stretches}.difference(known)))
-        for stretches in split:
-            yield b"".join([known[s] for s in stretches])
+        size = self.tokenizer.get_vocab_size(True)
+        self.closes = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.stretches = Remembered(self._stretches, 1)
+        self.runs = Remembered(self._runs, 1)
+        self.marks: dict[str, list[int]] = {"": []}
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _runs(self, runs: list[str]) -> list[tuple]:
+        groups = [runs[at : at + JOINED] for at in range(0, len(runs), JOINED)]
+        rows = []
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups])):
+            ids = np.array(ids)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(group):
+                rows += [(part.tolist(),) for part in np.split(ids, ends[:-1])]
+            else:  # a letter that the tokenizer takes apart
+                rows += [(i,) for i in self._ids(group)]
+        return rows
+
+    def _stretches(self, stretches: list[str]) -> list[tuple]:
+        rows: list = [None] * len(stretches)
+        plain, runs, marks, others = [], [], [], []
+        for at, stretch in enumerate(stretches):
+            run = stretch.rstrip(MARKS)
+            if run.isalpha():
+                plain.append(at)
+                runs.append(run)
+                marks.append(stretch[len(run) :])
+            else:
+                others.append(at)
+        for at, ids in zip(others, self._ids([stretches[at] for at in others])):
+            rows[at] = (ids,)
+        new = [m for m in set(marks) if m not in self.marks]
+        if len(self.marks) + len(new) > MOST_MARKS:
+            self.marks, new = {"": []}, list({*marks} - {""})
+        self.marks.update(zip(new, self._ids(new)))
+        found = words_of(pa.array(runs, pa.string()), BLANKS)
+        ids, lengths = self.runs.rows(0, self.runs.numbers(found.hashes, lambda at: [runs[i] for i in at.tolist()]))
+        ids, ends = ids.tolist(), np.cumsum(lengths).tolist()
+        for at, start, end, mark in zip(plain, [0, *ends], ends, marks):
+            rows[at] = (ids[start:end] + self.marks[mark],)
+        return rows
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; case is folded as the tokenizer does."""
+        words = words_of(texts, BLANKS)
+        found = lambda at: spans_as_text(words.data, words.starts[at], words.ends[at])
+        ids, lengths = self.stretches.rows(0, self.stretches.numbers(words.hashes, found))
+        ends = np.cumsum(sums_by_row(lengths, words.counts()))
+        yield from np.split(ids.astype("<u4"), ends[:-1])
 
 
 @lru_cache(maxsize=1)
@@ -78,24 +120,18 @@ def default_tokenizer() -> str:
     return "word_bpe_49k.json"
 
 
-def _file(name: str) -> str:
-    import public_tokenizers
-
-    return name if os.path.sep in name else public_tokenizers.path(name)
-
-
 def cut_pieces(docs: DataFrame, length: int = LENGTH, end: int = END, tokenizer: str | None = None) -> DataFrame:
     """The pieces of every document, with the checksum of their ids."""
     name = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(_file(name))
+        encoder = _encoder(tokenizer_file(name))
         last = np.array([end], dtype="<u4").tobytes()
         for whole in batches:
             for batch in pieces(whole, "text", 1 << 21):
                 rows = []
-                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
-                    ids = memoryview(ids + last)
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
+                    ids = memoryview(ids.tobytes() + last)
                     n = len(ids) // 4
                     for start in range(0, n, length):
                         part = ids[4 * start : 4 * (start + length)]

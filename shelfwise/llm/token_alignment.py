@@ -13,7 +13,8 @@ block by a join on pairs. A block's text is bounded, so nothing grows with the c
 of rows; the highest count of each right-hand id is a table of at most that vocabulary's size.
 
 Defined cases: a text that is null, empty or not given back by either tokenizer byte for byte has no
-tokens: zeros, and an empty string of groups, unhashed. Special tokens' strings are plain text. Null
+tokens: zeros, and an empty string of groups, unhashed. Special tokens' strings are plain text. Stretches are told
+apart by 64-bit hashes. Null
 ids and repeated rows are aligned and counted each. Counts of equal size are all highest. Texts of
 any length are aligned whole; other columns are not read; an empty table gives an empty one.
 """
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.stretches import BEFORE_SPACE, Remembered, ragged, sums_by_row, tokenizer_file
+from shelfwise.llm.stretches import Remembered, before_spaces, ragged, sums_by_row, tokenizer_file
 from shelfwise.llm.words import pieces
 from shelfwise.scratch import written
 
@@ -134,11 +135,10 @@ class Aligner:
             rows.append((a, b, (int(same),)))
         return rows
 
-    def align(self, texts: list[str | None]) -> tuple:
+    def align(self, texts: pa.Array) -> tuple:
         """Pair codes of all links in order; of each text its left ids, right ids and links; digests."""
-        split = [BEFORE_SPACE.split(t) if t else [] for t in texts]
-        counts = np.array([len(s) for s in split], dtype=np.int64)
-        numbers = self.known.numbers([s for found in split for s in found])
+        cut = before_spaces(texts, with_space=False)
+        counts, numbers = cut.counts, self.known.numbers(cut.hashes, cut.texts_at)
         same, _ = self.known.rows(2, numbers)
         good = sums_by_row(1 - same.astype(np.int64), counts) == 0
         numbers = numbers[np.repeat(good, counts)]
@@ -232,7 +232,7 @@ def aligned_blocks(docs: DataFrame, left: str, right: str) -> DataFrame:
         aligner = _aligner(left, right)
         for whole in batches:
             for batch in pieces(whole, "text", BLOCK_BYTES):
-                codes, n_a, n_b, n_links, digests = aligner.align(batch.column(1).to_pylist())
+                codes, n_a, n_b, n_links, digests = aligner.align(batch.column(1))
                 pairs, links, counts = np.unique(codes, return_inverse=True, return_counts=True)
                 links = links.astype("<u2" if len(pairs) <= 1 << 16 else "<u4")
                 columns = [pairs, counts, links.tobytes(), batch.column(0).to_pylist(), n_a, n_b, n_links, digests]

@@ -3,8 +3,8 @@
 Rows are taken in slices of about ``SLICE_BYTES`` of text. Every text is split at safe boundaries
 (see ``stretches``), so a long text costs no more at once than a short one; stretches beyond
 ``LONG`` characters are split again before any white space that follows other characters and between
-letters and digits, which the tokenizer's pre-tokens never span. Distinct stretches are encoded in
-batches of equal size, and a text's count is the sum over its stretches. No id leaves the function,
+letters and digits, which the tokenizer's pre-tokens never span. Distinct stretches, told apart by
+64-bit hashes, are encoded in batches of equal size, and a text's count is the sum over its stretches. No id leaves the function,
 no row is moved.
 
 Defined cases: null and empty texts count 0 tokens and 0 bytes; a special token's string inside a
@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.stretches import BEFORE_SPACE, Remembered, sums_by_row, tokenizer_file
+from shelfwise.llm.stretches import Remembered, before_spaces, sums_by_row, tokenizer_file
 from shelfwise.llm.words import buffers, pieces
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -48,27 +48,19 @@ def _lengths(file: str) -> Remembered:
     tokenizer.no_padding()
 
     def encode(stretches: list[str]) -> list[tuple]:
-        return [((len(e.ids),),) for e in tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
+        parts = [_INNER.split(s) if len(s) > LONG else [s] for s in stretches]
+        sizes = iter([len(e.ids) for e in tokenizer.encode_batch_fast([p for ps in parts for p in ps], add_special_tokens=False)])
+        return [((sum(next(sizes) for _ in ps),),) for ps in parts]
 
     return Remembered(encode, 1)
 
 
-def stretches_of(text: str) -> list[str]:
-    """The stretches of a text; together they are the text, and their tokens its tokens."""
-    first, *others = BEFORE_SPACE.split(text)
-    found = [first, *(" " + s for s in others)] if first or others else []
-    if len(text) > LONG and max(map(len, found)) > LONG:
-        found = [part for s in found for part in (_INNER.split(s) if len(s) > LONG else (s,))]
-    return found
-
-
-def token_counts(texts: list[str | None], file: str) -> np.ndarray:
+def token_counts(texts: pa.Array, file: str) -> np.ndarray:
     """How many tokens each text has."""
-    split = [stretches_of(t) if t else [] for t in texts]
+    cut = before_spaces(texts, with_space=True)
     known = _lengths(file)
-    numbers = known.numbers([s for found in split for s in found])
-    lengths, _ = known.rows(0, numbers)
-    return sums_by_row(lengths.astype(np.int64), np.array([len(found) for found in split], dtype=np.int64))
+    lengths, _ = known.rows(0, known.numbers(cut.hashes, cut.texts_at))
+    return sums_by_row(lengths.astype(np.int64), cut.counts)
 
 
 def count_tokens(docs: DataFrame, limit: int = LIMIT, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -79,7 +71,7 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, tokenizer: str = TOKENIZER
         for whole in batches:
             for batch in pieces(whole, "text", SLICE_BYTES):
                 _, offsets = buffers(batch.column(1))
-                counts = token_counts(batch.column(1).to_pylist(), file)
+                counts = token_counts(batch.column(1), file)
                 columns = [batch.column(0), pa.array(np.diff(offsets)), pa.array(counts), pa.array(counts > limit)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 

@@ -28,6 +28,8 @@ def _table(is_word) -> np.ndarray:
 
 #: Words between the white space of ASCII.
 SPACED = _table(lambda b: b not in b" \t\n\x0b\x0c\r")
+#: Words between blanks and line ends.
+BLANKS = _table(lambda b: b not in b" \n")
 #: Words of ASCII letters, digits and everything beyond ASCII.
 LETTERED = _table(lambda b: b >= 128 or chr(b).isalnum())
 

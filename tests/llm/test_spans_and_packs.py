@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from shelfwise.llm.decontaminate import Matcher, cut, find_contamination, judged, without_contamination
-from shelfwise.llm.packing import cut_pieces, first_fit, pack
+from shelfwise.llm.packing import Encoder, cut_pieces, first_fit, pack
 from shelfwise.llm.words import LETTERED, SPACED, shingles, words_of
 from tests.llm.conftest import ODD
 from tests.llm.test_native import words_of as brute_words
@@ -103,6 +103,18 @@ def test_first_fit(sizes):
     assert list(zip(*first_fit(sizes, 16))) == expected if sizes else True
 
 
+WHOLE = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+ENCODER = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+WORDS = ["The", "quick.", "it's", "İz", "\u0958x", "e\u0301t", "straße,", "ΣΑΣ", "日本!?", "a.b", "...", "42;", "\u1112\u1161", "x\xa0y", "Ω:", "ﬁn"]
+
+
+@given(st.lists(st.one_of(st.text(max_size=15), st.lists(st.sampled_from(WORDS), max_size=9).map(" ".join)), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_encoder(texts):
+    got = [ids.tolist() for ids in ENCODER.encode(pa.array([None, *texts], pa.string()))]
+    assert got == [WHOLE.encode(t, add_special_tokens=False).ids for t in ["", *texts]]
+
+
 def test_packing(rows):
     draw = random.Random(2)
     texts = [" ".join(draw.choice(["the", "Quick!", "brown's", "fußball", "a\tb\x1cc", "42", "日本"]) for _ in range(draw.randint(0, 4000))) for _ in range(60)]

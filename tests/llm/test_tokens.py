@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -11,9 +12,9 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from shelfwise.llm import token_alignment, token_counts
-from shelfwise.llm.stretches import BEFORE_SPACE, Remembered, byte_batches, ragged, sums_by_row
+from shelfwise.llm.stretches import Remembered, before_spaces, byte_batches, ragged, sums_by_row
 from shelfwise.llm.token_alignment import Aligner, align, shared_ends
-from shelfwise.llm.token_counts import count_tokens, stretches_of
+from shelfwise.llm.token_counts import count_tokens
 from tests.llm.conftest import ODD
 
 A = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,16 +28,23 @@ TEXTS = st.lists(st.sampled_from(PARTS), max_size=25).map("".join)
 @given(st.lists(st.one_of(TEXTS, st.text(max_size=20)), max_size=8))
 @settings(max_examples=400, deadline=None)
 def test_counts_of_stretches(texts):
-    got = token_counts.token_counts([*texts, None], A).tolist()
+    held = pa.array([*texts, None], pa.string())
+    got = token_counts.token_counts(held, A).tolist()
     assert got == [len(WHOLE.encode(t, add_special_tokens=False).ids) for t in texts] + [0]
-    assert all("".join(stretches_of(t)) == t for t in texts)
+    for with_space in (True, False):
+        cut, at = before_spaces(held, with_space), 0
+        for t, n in zip([*texts, ""], cut.counts.tolist()):
+            found = cut.texts_at(np.arange(at, at + n))
+            assert ("" if with_space else " ").join(found) == t and (not t) == (n == 0)
+            at += n
 
 
 def test_long_stretches():
     draw = random.Random(1)
     texts = ["".join(draw.choice(["ab", "12", "\n", ".", "é", "\n\n", "\t"]) for _ in range(9000)), "x" * 30000, "\n" * 9000, " " * 9000]
-    assert token_counts.token_counts(texts, A).tolist() == [len(WHOLE.encode(t, add_special_tokens=False).ids) for t in texts]
-    assert max(map(len, stretches_of(texts[0]))) < token_counts.LONG
+    got = token_counts.token_counts(pa.array(texts), A).tolist()
+    assert got == [len(WHOLE.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert max(map(len, token_counts._INNER.split(texts[0]))) < token_counts.LONG
 
 
 def test_token_counts(rows):
@@ -59,12 +67,12 @@ def test_remembered():
     draw = random.Random(2)
     for _ in range(50):
         texts = ["a", "b" * 3] + ["".join(draw.choices("abcdefgh", k=draw.randint(0, 4))) for _ in range(6)]
-        numbers = known.numbers(texts)
+        numbers = known.numbers(np.array([int.from_bytes(t.encode()) for t in texts], np.uint64), lambda at: [texts[i] for i in at])
         ids, lengths = known.rows(0, numbers)
         assert "".join(map(chr, ids)) == "".join(texts) and lengths.tolist() == [len(t) for t in texts]
         assert known.rows(1, numbers)[0].tolist() == [len(t) for t in texts]
-    assert asked.count("a") == 1 and len(known.numbers_of) <= 8 + 8
-    assert known.numbers([]).tolist() == [] and list(byte_batches(["ab", "c", "defg"], 3)) == [["ab", "c"], ["defg"]]
+    assert asked.count("a") == 1 and len(known.hashes) <= 8 + 8
+    assert known.numbers(np.zeros(0, np.uint64), None).tolist() == [] and list(byte_batches(["ab", "c", "defg"], 3)) == [["ab", "c"], ["defg"]]
     assert ragged(np.array([5, 0]), np.array([2, 0])).tolist() == [5, 6]
     assert sums_by_row(np.array([1, 2, 3]), np.array([0, 2, 0, 1])).tolist() == [0, 3, 0, 3]
 
@@ -130,10 +138,10 @@ def brute(texts):
 def test_aligner(texts):
     if not hasattr(test_aligner, "made"):
         test_aligner.made = Aligner(A, B)
-    codes, n_a, n_b, n_links, digests = test_aligner.made.align([None, *texts, ""])
+    codes, n_a, n_b, n_links, digests = test_aligner.made.align(pa.array([None, *texts, ""], pa.string()))
     got = list(zip(n_a.tolist(), n_b.tolist(), n_links.tolist(), digests))
     assert got == [(x[0], x[1], x[2], x[6]) for x in brute([None, *texts, ""])]
-    assert len(codes) == n_links.sum() and BEFORE_SPACE.split("a b") == ["a", "b"]
+    assert len(codes) == n_links.sum()
 
 
 def test_alignment(rows, monkeypatch):
