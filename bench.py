@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the number of local threads. Each query is run
-to the last row into Spark's no-op sink; the better of two runs counts. ``--row-udfs`` also times
-three operators written as row-at-a-time Python UDFs, for comparison.
+to the last row into Spark's no-op sink; the better of two runs counts. ``--duckdb`` also times the
+SQL of the same queries in DuckDB, on as many threads.
 """
 
 from __future__ import annotations
@@ -12,14 +12,10 @@ import os
 import sys
 import time
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from check_queries import session
-from shelfwise.catalog import QUERIES, products
-from shelfwise.operators.encode import cut_word, fold
-from shelfwise.operators.vocabulary import piece_vocabulary
-from shelfwise.schema import TEXT
+from check_queries import database, session
+from shelfwise.catalog import QUERIES, SQL
 
 HEADLINE = [
     "text_length_by_label",
@@ -68,31 +64,6 @@ def best_of(runs: int, work) -> float:
     return round(min(times), 3)
 
 
-def row_udfs(spark: SparkSession, folder: str) -> dict[str, float]:
-    """The same results by Python called once per row."""
-    rows = products(spark, folder).select("asin", "title", "description", "feature", "brand")
-
-    def join_printed(*values):
-        present = (v for v in values if v is not None)
-        return " | ".join(map(str, present))
-
-    joined = F.udf(join_printed, "string")
-    count = F.udf(lambda t: len(t.split()), "int")
-    texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", F.col("text").alias(TEXT))
-    known = {r["token"]: r["id"] for r in piece_vocabulary(texts, TEXT, 8_000).collect()}
-
-    def ids_of(text):
-        ids = [i for w in text.split() for i in cut_word(fold(w), known, 1)][:510]
-        return [[2, *ids, 3] + [0] * (510 - len(ids)), [1] * (len(ids) + 2) + [0] * (510 - len(ids))]
-
-    encoded = F.udf(ids_of, "array<array<int>>")
-    return {
-        "text_listed": best_of(2, lambda: drain(rows.select("asin", joined(*rows.columns)))),
-        "words_counted": best_of(2, lambda: drain(texts.select("doc_id", count(TEXT)))),
-        "pieces_encoded": best_of(2, lambda: drain(texts.select("doc_id", encoded(TEXT)))),
-    }
-
-
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(int(os.environ.get("BENCH_CPUS", "8")))
@@ -110,8 +81,10 @@ def main() -> None:
         "queries": times,
         "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
     }
-    if "--row-udfs" in sys.argv:
-        out["row_udfs"] = row_udfs(spark, folder)
+    if "--duckdb" in sys.argv:
+        connection = database(folder)
+        connection.execute(f"SET threads = {int(os.environ.get('BENCH_CPUS', '8'))}")
+        out["duckdb"] = {n: best_of(2, lambda: connection.execute(SQL[n]).fetchall()) for n in names if n in SQL}
     print(json.dumps(out))
     spark.stop()
 

@@ -18,9 +18,10 @@ from shelfwise.functions.labels import label_code, label_key, label_name
 from shelfwise.functions.text import combine_flat, combine_listed, combine_spaced, tokens, word_count
 from shelfwise.operators import metrics
 from shelfwise.operators.classify import fit_text_classifier, load_model, loss_of_row, save_model, with_code
-from shelfwise.operators.encode import encode
+from shelfwise.operators.encode import encode, unknown_share
 from shelfwise.operators.features import fit_projection, fit_scale, id_features
 from shelfwise.operators.numbering import batches, shuffled_numbers
+from shelfwise.operators.pretrained import encode_pretrained
 from shelfwise.operators.profile import (
     box_statistics,
     collected,
@@ -474,19 +475,25 @@ def words_encoded_by_join(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.select("doc_id", LABEL, _as_text("input_ids"), _as_text("attention_mask"))
 
 
+PIECES = 8_000
+
+_CLASS = r"!-/:-@\[-`{-~\p{P}"
+
+# Words as the encoder splits and folds them, then their counted pieces, characters first.
 _PIECE_IDS_SQL = f"""
-counts AS (SELECT token AS w, count(*) AS n FROM (SELECT unnest({TOKENS_SQL}) AS token FROM documents) GROUP BY token),
+placed AS MATERIALIZED (
+  SELECT doc_id, lower(strip_accents(unnest(words))) AS f, generate_subscripts(words, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '[{_CLASS}]|[^{_CLASS}\\t\\n\\r\\p{{Z}}]+') AS words FROM documents)),
+counts AS (SELECT f AS w, count(*) AS n FROM placed GROUP BY f HAVING length(f) <= 100),
 starts AS (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM counts),
 runs AS (SELECT w, n, i, unnest(range(1, least(6, length(w) - i + 1) + 1)) AS len FROM starts),
 pieces AS (
   SELECT CASE WHEN i > 1 THEN '##' ELSE '' END || substr(w, i, len) AS token, n FROM runs
-  UNION ALL SELECT w, n FROM counts WHERE length(w) > 6),
-piece_counts AS (SELECT token, CAST(sum(n) AS BIGINT) AS n FROM pieces GROUP BY token),
-vocabulary AS MATERIALIZED (
-  SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 AS id FROM piece_counts
-  ORDER BY n DESC, token LIMIT 7996)"""
-
-PIECES = 8_000
+  UNION ALL SELECT w, n FROM counts WHERE length(w) > 6
+  UNION ALL SELECT CASE WHEN i > 1 THEN '' ELSE '##' END || substr(w, i, 1), 0 FROM starts),
+piece_counts AS (SELECT token, CAST(sum(n) AS BIGINT) AS n, length(regexp_replace(token, '^##(.)', '\\1')) = 1 AS single FROM pieces GROUP BY token),
+numbered AS (SELECT token, single, row_number() OVER (ORDER BY single DESC, n DESC, token) + 3 AS id FROM piece_counts),
+vocabulary AS MATERIALIZED (SELECT token, id FROM numbered WHERE single OR id < {PIECES})"""
 
 
 @query(
@@ -498,12 +505,7 @@ def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
     return piece_vocabulary(documents(spark, folder), "text", PIECES)
 
 
-_CLASS = r"!-/:-@\[-`{-~\p{P}"
-
-PIECES_ENCODED_SQL = f"""WITH RECURSIVE {_PIECE_IDS_SQL},
-placed AS MATERIALIZED (
-  SELECT doc_id, lower(strip_accents(unnest(words))) AS f, generate_subscripts(words, 1) AS pos
-  FROM (SELECT doc_id, regexp_extract_all(text, '[{_CLASS}]|[^{_CLASS}\\t\\n\\r\\p{{Z}}]+') AS words FROM documents)),
+PIECES_FOUND_SQL = f"""WITH RECURSIVE {_PIECE_IDS_SQL},
 folded AS MATERIALIZED (SELECT DISTINCT f FROM placed),
 spots AS (SELECT f, unnest(range(1, length(f) + 1)) AS i FROM folded WHERE length(f) <= 100),
 cuts AS (SELECT f, i, unnest(range(1, length(f) - i + 2)) AS len FROM spots),
@@ -519,7 +521,9 @@ walk AS (
 done AS (SELECT f, ids FROM walk WHERE i = length(f) + 1),
 found AS (
   SELECT doc_id, flatten(list(coalesce(ids, [1]) ORDER BY pos))[1:510] AS ids
-  FROM placed LEFT JOIN done USING (f) GROUP BY doc_id),
+  FROM placed LEFT JOIN done USING (f) GROUP BY doc_id)"""
+
+PIECES_ENCODED_SQL = f"""{PIECES_FOUND_SQL},
 framed AS (
   SELECT doc_id, lang, list_concat([2], coalesce(ids, []), [3]) AS ids FROM documents LEFT JOIN found USING (doc_id))
 SELECT doc_id, lang AS main_cat,
@@ -547,6 +551,29 @@ def pieces_encoded_by_join(spark: SparkSession, folder: str) -> DataFrame:
     return _pieces(spark, folder, "join")
 
 
+@query()
+def texts_encoded_pretrained(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document by a public tokenizer's file, framed by its own first and last ids."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = encode_pretrained(texts(spark, folder), path, start=49406, end=49407, pad=49407)
+    used = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, m: a + m)
+    return encoded.select("doc_id", LABEL, _as_text("input_ids"), used.alias("used"))
+
+
+@query(
+    f"""{PIECES_FOUND_SQL}
+SELECT CAST(sum(len(ids)) AS BIGINT) AS ids, CAST(sum(len(list_filter(ids, lambda i: i = 1))) AS BIGINT) AS unknown,
+       sum(len(list_filter(ids, lambda i: i = 1))) / sum(len(ids)) AS share, unknown = 0 AS all_known FROM found"""
+)
+def piece_unknowns(spark: SparkSession, folder: str) -> DataFrame:
+    """How many ids are unknown where the vocabulary was counted on the same texts: none."""
+    rows = texts(spark, folder)
+    found = unknown_share(encode(rows, piece_vocabulary(rows, TEXT, PIECES)))
+    return found.withColumn("all_known", F.col("unknown") == 0)
+
+
 @query(
     """SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS width, round(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE))), 6) AS total
 FROM embeddings"""

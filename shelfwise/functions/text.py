@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,3 +127,21 @@ def rough_words(text: Column) -> Column:
         clean, F.lit(rf"[a-zA-Z0-9[^{_ALONE}\t\n\r\p{{Z}}]]+|[{_ALONE}]"), F.lit(0)
     )
     return F.filter(found, lambda w: ~w.rlike(r"^\p{Mn}+$"))
+
+
+def fold(word: str) -> str:
+    """Lower case without accents."""
+    if word.isascii():
+        return word.lower()
+    apart = unicodedata.normalize("NFD", word.lower())
+    return "".join(c for c in apart if unicodedata.category(c) != "Mn")
+
+
+def folded(word: Column) -> Column:
+    """Words in lower case without accents, a batch at a time; meant for distinct words."""
+
+    @F.arrow_udf("string")
+    def fold_all(words: pa.Array) -> pa.Array:
+        return pa.array([w if w is None else fold(w) for w in words.to_pylist()], pa.string())
+
+    return fold_all(word)

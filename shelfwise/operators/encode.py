@@ -7,7 +7,6 @@ joined instead. Splitting, cutting, padding and masks are Spark expressions on b
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
@@ -17,16 +16,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import rough_words, tokens
+from shelfwise.functions.arrays import ratio
+from shelfwise.functions.text import fold, folded, rough_words, tokens
 from shelfwise.operators.numbering import with_row_ids
-from shelfwise.operators.vocabulary import CONTINUES, END, PAD, START, UNKNOWN
+from shelfwise.operators.vocabulary import CONTINUES, END, LONGEST_WORD, PAD, START, UNKNOWN
 from shelfwise.schema import TEXT
 
 # Every Python worker holds the vocabulary: some 50 MB at these bounds.
 MOST_SENT_ROWS = 300_000
 MOST_SENT_CHARS = 6_000_000
-# Fixed value: longer words are unknown in the word-piece scheme.
-LONGEST_WORD = 100
 _MEMO_WORDS = 200_000
 # A word that fills a third of all rows is met by this many tasks instead of one.
 _SALTS = 16
@@ -38,6 +36,15 @@ def fits_sending(vocabulary: DataFrame) -> bool:
     return size["n"] <= MOST_SENT_ROWS and (size["chars"] or 0) <= MOST_SENT_CHARS
 
 
+def check_vocabulary(vocabulary: DataFrame) -> None:
+    """Refuse a vocabulary that names a token or an id twice, or has a null among them."""
+    found = vocabulary.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("token").alias("tokens"), F.count_distinct("id").alias("ids")
+    ).first()
+    if not found["rows"] == found["tokens"] == found["ids"]:
+        raise ValueError(f"vocabulary of {found['rows']} rows has {found['tokens']} tokens and {found['ids']} ids")
+
+
 def special_ids(pairs: Iterable[tuple[str, int]]) -> dict[str, int]:
     wanted = (PAD, UNKNOWN, START, END)
     found = {token: i for token, i in pairs if token in wanted}
@@ -60,14 +67,6 @@ def framed(pieces: Column, special: dict[str, int], max_length: int) -> tuple[Co
     return F.concat(one(START), cut, one(END), pad), mask
 
 
-def fold(word: str) -> str:
-    """Lower case without accents."""
-    if word.isascii():
-        return word.lower()
-    apart = unicodedata.normalize("NFD", word.lower())
-    return "".join(c for c in apart if unicodedata.category(c) != "Mn")
-
-
 def cut_word(word: str, ids: dict[str, int], unknown: int) -> list[int]:
     """Ids of the longest known pieces from left to right; one unknown id if some part is not known."""
     if len(word) > LONGEST_WORD:
@@ -131,6 +130,16 @@ def _piece_lookup(sent: Broadcast, unknown: int) -> Callable:
     return look_up
 
 
+def unknown_share(encoded: DataFrame, unknown: int = 1) -> DataFrame:
+    """One row: ``ids`` without special ones and padding, the ``unknown`` among them, their ``share``."""
+    used = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, m: a + m) - 2
+    missed = F.size(F.filter("input_ids", lambda i: i == unknown)).cast("bigint")
+    totals = encoded.agg(
+        F.coalesce(F.sum(used), F.lit(0)).alias("ids"), F.coalesce(F.sum(missed), F.lit(0)).alias("unknown")
+    )
+    return totals.withColumn("share", ratio(F.col("unknown"), F.col("ids")))
+
+
 def _offsets(lists: pa.Array) -> pa.Array:
     """List boundaries from 0; a null list counts as empty."""
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
@@ -149,14 +158,6 @@ def _by_lookup(
     return df.withColumn("__pieces", make(sent, special[UNKNOWN])(words)), special
 
 
-def folded(word: Column) -> Column:
-    @F.arrow_udf("string")
-    def fold_all(words: pa.Array) -> pa.Array:
-        return pa.array([fold(w) for w in words.to_pylist()], pa.string())
-
-    return fold_all(word)
-
-
 def _salted_join(rows: DataFrame, small: DataFrame, on: str, spread_by: Sequence[str], how: str) -> DataFrame:
     """Join on a column with very frequent values: rows are spread, the other side is repeated."""
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(_SALTS)).cast("int")
@@ -253,11 +254,16 @@ def encode(
     ``level`` is ``word`` (whole words) or ``piece`` (words cut into known pieces). Every word gives
     at least one id, so words beyond the length limit cannot matter and are not looked up.
     ``route`` overrides the choice between ``lookup`` and ``join``; the join first writes the rows once
-    to give each an id.
+    to give each an id. A vocabulary with a token or an id twice is refused on both routes, one that
+    is too large to send on the lookup route.
     """
     if level not in ("word", "piece"):
         raise ValueError(f"unknown level {level}")
-    route = route or ("lookup" if fits_sending(vocabulary) else "join")
+    check_vocabulary(vocabulary)
+    fits = fits_sending(vocabulary)
+    if route == "lookup" and not fits:
+        raise ValueError("the vocabulary is too large to be sent: use the join route")
+    route = route or ("lookup" if fits else "join")
     words = F.slice((tokens if level == "word" else rough_words)(F.col(text)), 1, max_length - 2)
     if route == "lookup":
         found, special = _by_lookup(df, words, vocabulary, level)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import tokens
+from shelfwise.functions.text import folded, rough_words, tokens
 from shelfwise.operators.numbering import sorted_numbers
 from shelfwise.schema import TEXT
 from shelfwise.scratch import written
@@ -13,6 +13,8 @@ from shelfwise.scratch import written
 PAD, UNKNOWN, START, END = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
 SPECIAL = (PAD, UNKNOWN, START, END)
 CONTINUES = "##"
+# Fixed value: longer words are unknown in the word-piece scheme.
+LONGEST_WORD = 100
 
 
 def token_counts(df: DataFrame, text: str = TEXT, min_count: int = 1) -> DataFrame:
@@ -51,23 +53,38 @@ def word_vocabulary(
     return _with_special(df.sparkSession, ranked(token_counts(df, text, min_count), max_size))
 
 
+def folded_word_counts(df: DataFrame, text: str = TEXT) -> DataFrame:
+    """``(word, n)`` as the encoder sees texts: split into its words, these without case and accents.
+
+    Words are counted as they stand first; only distinct ones are folded.
+    """
+    split = df.select(F.explode(rough_words(F.col(text))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return split.select(folded(F.col("word")).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def piece_counts(df: DataFrame, text: str = TEXT, longest: int = 6) -> DataFrame:
-    """``(token, n)`` of candidate word pieces.
+    """``(token, n)`` of candidate word pieces of the encoder's words.
 
     Whole words, every run of at most ``longest`` characters at the start of a word, and every such
     run further in, marked as continuing. Candidates come from distinct words and carry their count.
+    Every character is a candidate in both forms, with a count of 0 in a form that does not occur, so
+    that any word of known characters can be cut.
     """
-    words = token_counts(df, text)
+    words = folded_word_counts(df, text).filter(F.length("word").between(1, LONGEST_WORD))
     # A word grows some fifty-fold here: spread the words by number, not by their present size.
     words = words.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    size, at, length = F.length("token"), F.col("at"), F.col("length")
+    size, at, length = F.length("word"), F.col("at"), F.col("length")
     lengths = F.sequence(F.lit(1), F.least(F.lit(longest), size - at + 1))
     whole = F.when((at == 1) & (size > longest), F.array(size)).otherwise(F.array().cast("array<int>"))
-    mark = F.when(at > 1, F.lit(CONTINUES)).otherwise(F.lit(""))
+    other = F.array(F.lit(None).cast("int"))  # stands for the other form of the character
+    mark = F.when((at > 1) == length.isNotNull(), F.lit(CONTINUES)).otherwise(F.lit(""))
     return (
-        words.select("token", "n", F.explode(F.sequence(F.lit(1), size)).alias("at"))
-        .select("token", "n", "at", F.explode(F.concat(lengths, whole)).alias("length"))
-        .select("n", F.concat(mark, F.substr(F.col("token"), at, length)).alias("token"))
+        words.select("word", "n", F.explode(F.sequence(F.lit(1), size)).alias("at"))
+        .select("word", "n", "at", F.explode(F.concat(lengths, whole, other)).alias("length"))
+        .select(
+            F.when(length.isNull(), 0).otherwise(F.col("n")).cast("bigint").alias("n"),
+            F.concat(mark, F.substr(F.col("word"), at, F.coalesce(length, F.lit(1)))).alias("token"),
+        )
         .groupBy("token")
         .agg(F.sum("n").alias("n"))
     )
@@ -76,16 +93,29 @@ def piece_counts(df: DataFrame, text: str = TEXT, longest: int = 6) -> DataFrame
 def piece_vocabulary(
     df: DataFrame, text: str = TEXT, max_size: int | None = 30_522, longest: int = 6
 ) -> DataFrame:
-    """``(token, id)`` of word pieces by frequency."""
-    return _with_special(df.sparkSession, ranked(piece_counts(df, text, longest), max_size))
+    """``(token, id)`` of word pieces: all single characters, then the others by frequency.
+
+    Characters are kept whatever ``max_size`` says, which bounds the others; so no word that the
+    vocabulary was counted on (up to the encoder's longest) is unknown to it.
+    """
+    single = F.length(F.regexp_replace("token", f"^{CONTINUES}(?=.)", "")) == 1
+    counts = written(piece_counts(df, text, longest).withColumn("single", single), "piece-counts")
+    numbered = sorted_numbers(counts, F.desc("single"), F.desc("n"), F.asc("token"), name="__rank")
+    if max_size is not None:
+        numbered = numbered.filter(F.col("single") | (F.col("__rank") <= max_size - len(SPECIAL)))
+    first = len(SPECIAL) - 1
+    return _with_special(df.sparkSession, numbered.select("token", (F.col("__rank") + first).cast("bigint").alias("id")))
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """``(token, id)`` from a file with one token per line, the line number from 0 being the id.
 
-    This is how trained word-piece vocabularies are shipped; a vocabulary is one small file.
+    This is how trained word-piece vocabularies are shipped; a vocabulary is one small file, and a path
+    that holds several is refused, as their ids would overlap.
     """
     lines = spark.read.text(path, wholetext=True)
+    if lines.count() != 1:
+        raise ValueError(f"{path} is not one vocabulary file")
     listed = F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")
     return lines.select(F.posexplode(listed).alias("id", "token")).select("token", F.col("id").cast("bigint"))
 

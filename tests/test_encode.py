@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators.encode import cut_word, encode, fits_sending, fold
+from shelfwise.functions.text import fold
+from shelfwise.operators.encode import cut_word, encode, fits_sending, unknown_share
+from shelfwise.operators.pretrained import encode_pretrained
 from shelfwise.operators.vocabulary import (
     SPECIAL,
     piece_counts,
@@ -55,7 +57,50 @@ def test_ranking_by_range_equals_ranking_of_the_top(df):
 def test_piece_counts_by_hand(spark):
     df = spark.createDataFrame([("abc ab abc",)], "combined_text string")
     got = {r["token"]: r["n"] for r in piece_counts(df, longest=2).collect()}
-    assert got == {"a": 3, "ab": 3, "##b": 3, "##bc": 2, "##c": 2, "abc": 2}
+    other = {"##a": 0, "b": 0, "c": 0}
+    assert got == {"a": 3, "ab": 3, "##b": 3, "##bc": 2, "##c": 2, "abc": 2, **other}
+
+
+def test_no_word_of_the_counted_texts_is_unknown(spark, df):
+    rows = df.filter("asin <> '5'")  # a word beyond the scheme's longest stays unknown
+    for size in (5, 60, None):
+        vocabulary = piece_vocabulary(rows, max_size=size)
+        for route in ("lookup", "join"):
+            found = unknown_share(encode(rows, vocabulary, route=route)).first()
+            assert found["unknown"] == 0 and found["ids"] > 0 and found["share"] == 0
+    held = {r["token"] for r in piece_vocabulary(rows, max_size=5).collect()}
+    assert {"t", "##t", "\u4e2d", "##\u4e2d", "##,"} <= held
+    assert unknown_share(encode(df.filter("asin = '5'"), piece_vocabulary(df))).first()["unknown"] == 1
+    assert unknown_share(encode(df.limit(0), piece_vocabulary(df))).first()["ids"] == 0
+
+
+def test_bad_vocabularies_are_refused(spark, df, monkeypatch):
+    special = [(t, i) for i, t in enumerate(SPECIAL)]
+    for more in ([("a", 4), ("a", 5)], [("a", 4), ("b", 4)], [("a", None)]):
+        for route in ("lookup", "join"):
+            with pytest.raises(ValueError, match="vocabulary of"):
+                encode(df, spark.createDataFrame(special + more, "token string, id long"), route=route)
+    monkeypatch.setattr("shelfwise.operators.encode.MOST_SENT_ROWS", 1)
+    with pytest.raises(ValueError, match="too large"):
+        encode(df, word_vocabulary(df), level="word", route="lookup")
+
+
+def test_pretrained_tokenizer(spark, df):
+    public = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    path = public.path("word_bpe_49k.json")
+    whole = tokenizers.Tokenizer.from_file(path)
+    wide = df.selectExpr("*", "1 AS input_ids", "'x' AS `odd name`")
+    for length in (2, 9, 512):
+        got = encode_pretrained(wide, path, 49406, 49407, 0, length)
+        assert got.columns == ["asin", "main_cat", "odd name", "input_ids", "attention_mask"]
+        for r in got.collect():
+            ids = [49406, *whole.encode(TEXTS[int(r["asin"])] or "", add_special_tokens=False).ids[: length - 2], 49407]
+            assert r["input_ids"] == ids + [0] * (length - len(ids))
+            assert r["attention_mask"] == [1] * len(ids) + [0] * (length - len(ids))
+    assert encode_pretrained(df.limit(0), path, 1, 2, 0).count() == 0
+    with pytest.raises(ValueError):
+        encode_pretrained(df, path, 1, 2, 0, 1)
 
 
 def test_vocabulary_files(spark, df, tmp_path):
@@ -63,9 +108,9 @@ def test_vocabulary_files(spark, df, tmp_path):
     path.write_text("[PAD]\n[UNK]\n[CLS]\n[SEP]\nthe\n##s\n", encoding="utf-8")
     rows = read_vocabulary(spark, str(path)).orderBy("id").collect()
     assert [(r["token"], r["id"]) for r in rows][-2:] == [("the", 4), ("##s", 5)] and len(rows) == 6
-    vocabulary = piece_vocabulary(df, max_size=50)
+    vocabulary = piece_vocabulary(df, max_size=100)
     write_vocabulary(vocabulary, str(tmp_path / "table"))
-    assert read_table(spark, str(tmp_path / "table")).count() == 50
+    assert read_table(spark, str(tmp_path / "table")).count() == 100
 
 
 @pytest.mark.parametrize("level", ["word", "piece"])
