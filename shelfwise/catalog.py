@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.arrays import argmax, element, head
@@ -44,14 +44,14 @@ from shelfwise.operators.vocabulary import (
 from shelfwise.plans.baseline import HINGE, MARGIN, linear_baseline
 from shelfwise.plans.etl import run_etl
 from shelfwise.plans.explore import explore
-from shelfwise.plans.predict import predict, request_text
+from shelfwise.plans.predict import answer, predict, request_text
 from shelfwise.plans.preprocess import preprocess
 from shelfwise.plans.train import train_and_evaluate
 from shelfwise.schema import KEY, LABEL, PRODUCT, REQUEST, TEXT
 from shelfwise.scratch import scratch_path
 from shelfwise.sources.json_lines import MALFORMED, json_fields, read_json_lines, write_json_lines
 from shelfwise.sources.tables import read_table, write_table
-from shelfwise.streaming.scoring import request_stream, start_scoring, start_writing
+from shelfwise.streaming.scoring import request_stream, start_answering, start_scoring, start_writing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -821,12 +821,12 @@ def features_projected(spark: SparkSession, folder: str) -> DataFrame:
     return projected.select("vec_id", F.get(values, F.lit(0)).alias("first"), F.get(values, F.lit(1)).alias("second"))
 
 
-def _linear(spark: SparkSession, folder: str, components: int, strength: float | None) -> DataFrame:
+def _linear(spark: SparkSession, folder: str, **options) -> DataFrame:
     labels = [str(i) for i in range(10)]
     rows = table(spark, folder, "embeddings").select(
         "vec_id", F.col("embedding").alias("input_ids"), F.col("label").cast("string").alias(LABEL)
     )
-    return linear_baseline(rows, components, strength, labels, key="vec_id", iterations=20).predictions
+    return linear_baseline(rows, labels=labels, key="vec_id", **options).predictions
 
 
 @query()
@@ -840,6 +840,46 @@ def hinge_baseline(spark: SparkSession, folder: str) -> DataFrame:
     return _linear(spark, folder, **{**HINGE, "components": 32})
 
 
+def _on_ids(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """A baseline on the stored ids of all documents: test rows of each label, and what must hold of its predictions."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "encoded")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    write_table(encode_pretrained(texts(spark, folder), tokenizer, start=49406, end=49407, pad=0), path)
+    stored = read_table(spark, path)
+    tested = linear_baseline(stored, labels=LANGUAGES, key="doc_id", **options).predictions
+    flags = tested.groupBy("actual").agg(
+        F.count(F.lit(1)).alias("support"),
+        F.count_if(F.col("predicted").isin(LANGUAGES)).alias("named"),
+        F.count_if(F.col("actual") == F.col("predicted")).alias("hits"),
+    )
+    right = F.sum("hits").over(Window.partitionBy()) / F.sum("support").over(Window.partitionBy())
+    return flags.select(
+        F.col("actual").alias("label"),
+        "support",
+        (F.col("named") == F.col("support")).alias("all_named"),
+        (right > 1 / len(LANGUAGES)).alias("beats_chance"),
+    )
+
+
+_SUPPORTS_SQL = f"""SELECT lang AS label, count(*) AS support, TRUE AS all_named, TRUE AS beats_chance
+FROM (SELECT lang, row_number() OVER (ORDER BY {_digest_sql('doc_id')}) AS r, count(*) OVER () AS total FROM documents)
+WHERE r <= ceil(0.2 * total) GROUP BY lang"""
+
+
+@query(_SUPPORTS_SQL)
+def margin_on_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of labels on two components of the 512 ids."""
+    return _on_ids(spark, folder, **MARGIN)
+
+
+@query(_SUPPORTS_SQL)
+def hinge_on_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels against the rest on a hundred components of the 512 ids."""
+    return _on_ids(spark, folder, **HINGE)
+
+
 @query(
     """SELECT user_id AS candidate, round(avg(value), 6) AS loss FROM events GROUP BY user_id
 ORDER BY avg(value), user_id LIMIT 1"""
@@ -968,6 +1008,38 @@ def _small_model(spark: SparkSession, folder: str):
     return fit_text_classifier(train, val, LANGUAGES, features=1 << 12, strengths=(0.01,), iterations=5).model
 
 
+_OUTCOMES_SQL = f"""WITH {_REQUESTS_SQL},
+checked AS (
+  SELECT asin, nullif(concat_ws('; ', CASE WHEN brand IS NULL THEN 'brand is missing' END,
+                                CASE WHEN long THEN 'description is missing' END,
+                                CASE WHEN kind IS NULL THEN 'feature holds a null' END), '') AS reject_reason
+  FROM requests)
+SELECT asin, reject_reason, CASE WHEN reject_reason IS NULL THEN TRUE END AS known_label FROM checked"""
+
+
+def _outcomes(answered: DataFrame, refused: DataFrame) -> DataFrame:
+    """One row for each request: the reason of its rejection, or whether its label is a known one."""
+    known = answered.select(KEY, F.lit(None).cast("string").alias(REASON), F.col(LABEL).isin(LANGUAGES).alias("known_label"))
+    return known.unionByName(refused.select(KEY, REASON, F.lit(None).cast("boolean").alias("known_label")))
+
+
+@query(_OUTCOMES_SQL)
+def requests_answered(spark: SparkSession, folder: str) -> DataFrame:
+    """Every request is scored or rejected with a reason."""
+    return _outcomes(*answer(requests(spark, folder), _small_model(spark, folder), include_key=False))
+
+
+@query(_OUTCOMES_SQL)
+def stream_answered(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for requests that arrive as files; a batch that is run again adds nothing."""
+    source, target, refused, state = (scratch_path(spark, f"answers-{n}") for n in ("in", "out", "refused", "state"))
+    asked, model = requests(spark, folder), _small_model(spark, folder)
+    write_table(asked, source, rows_per_file=5_000)
+    stream = request_stream(spark, source, asked.schema, "parquet", files_per_batch=4)
+    start_answering(stream, model, target, refused, state, include_key=False).awaitTermination()
+    return _outcomes(read_table(spark, target), read_table(spark, refused))
+
+
 @query()
 def table_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return predict(products(spark, folder).drop(LABEL), _small_model(spark, folder), include_key=False)
@@ -1002,6 +1074,32 @@ def etl_job(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, target)
 
 
+@query(
+    SQL["words_encoded"].replace(
+        "WITH ", f"WITH {PRODUCTS_SQL},\ndocuments AS (SELECT asin AS doc_id, main_cat AS lang, {FLAT_SQL} AS text FROM products),\n", 1
+    ).replace("doc_id, lang AS main_cat", "doc_id AS asin, lang AS main_cat")
+)
+def etl_encoded(spark: SparkSession, folder: str) -> DataFrame:
+    """All records from JSON lines to ids and masks, stored and read back."""
+    source, target = scratch_path(spark, "etl-lines"), scratch_path(spark, "etl-ids")
+    rows = products(spark, folder)
+    write_json_lines(rows, source)
+    run_etl(spark, source, target, word_vocabulary(preprocess(rows), min_count=2), rejected=f"{target}-malformed", level="word")
+    return read_table(spark, target).select("asin", LABEL, _as_text("input_ids"), _as_text("attention_mask"))
+
+
+@query(
+    f"""SELECT {_LINE_SQL} AS malformed, count(*) OVER () AS malformed_lines, (SELECT count(*) FROM events) AS all_lines
+FROM events WHERE event_type = 'error'"""
+)
+def etl_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Malformed lines, kept apart from the rows, and the counts that loading gives back."""
+    target, refused = scratch_path(spark, "etl-events"), scratch_path(spark, "etl-malformed")
+    done = run_etl(spark, _lines_with_faults(spark, folder), target, rejected=refused)
+    counts = F.lit(done.malformed).cast("bigint").alias("malformed_lines"), F.lit(done.lines).cast("bigint").alias("all_lines")
+    return read_table(spark, refused).select(MALFORMED, *counts)
+
+
 @query()
 def training_job(spark: SparkSession, folder: str) -> DataFrame:
     """Scores per label on the test split, from table to report."""

@@ -114,7 +114,7 @@ def fit_margin_classifier(
     features: str = "projected",
     strength: float | None = None,
     iterations: int = 50,
-    parallel: int = 4,
+    parallel: int = 1,
 ) -> Transformer:
     """One linear maximum-margin classifier per label against the rest, on features as they are.
 

@@ -5,20 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.labels import label_name
-from shelfwise.operators.classify import fit_margin_classifier, with_code
+from shelfwise.operators.classify import with_code
 from shelfwise.operators.features import fit_projection, fit_scale, id_features
+from shelfwise.operators.margins import fit_margins
 from shelfwise.operators.metrics import accuracy, confusion, report
 from shelfwise.operators.sampling import sample_exact, with_exact_split
 from shelfwise.schema import KEY, LABEL, LABELS
 
-# Projected width and penalty of the two baselines.
-MARGIN = {"components": 2, "strength": None}
-HINGE = {"components": 100, "strength": 1e-4}
+# Projected width, penalty and scheme of the two baselines.
+MARGIN = {"components": 2, "strength": None, "scheme": "pairs"}
+HINGE = {"components": 100, "strength": 1e-4, "scheme": "rest"}
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,7 @@ def linear_baseline(
     encoded: DataFrame,
     components: int = 2,
     strength: float | None = None,
+    scheme: str = "rest",
     labels: Sequence[str] = LABELS,
     key: str = KEY,
     label: str = LABEL,
@@ -44,7 +45,8 @@ def linear_baseline(
 ) -> Baseline:
     """Sample, split, scale, project, fit and test, as for any encoded table.
 
-    The mask is not used. The projected training rows, a few numbers each, are kept for the fits.
+    The mask is not used. The projected training rows, a few numbers each, are written once for the
+    fits; all labels (``scheme`` ``rest``) or pairs of labels (``pairs``) are fitted together.
     """
     rows = encoded.select(key, label, ids)
     if fraction < 1.0:
@@ -55,11 +57,7 @@ def linear_baseline(
     scale = fit_scale(train)
     scaled = scale.transform(train)
     projection = fit_projection(scaled, components)
-    kept = projection.transform(scaled).select("label", "projected").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit_margin_classifier(kept, "projected", strength, iterations)
-    finally:
-        kept.unpersist()
+    model = fit_margins(projection.transform(scaled), len(labels), "projected", "label", scheme, strength, iterations)
     test = projection.transform(scale.transform(vectors.filter(F.col("split") == "test")))
     tested = model.transform(test).select(
         key, F.col(label).alias("actual"), label_name(F.col("prediction"), labels).alias("predicted")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfwise.plans.predict import predict
+from shelfwise.plans.predict import answer, predict
 from shelfwise.schema import REQUEST
 
 
@@ -49,3 +49,38 @@ def start_writing(rows: DataFrame, output: str, checkpoint: str, once: bool = Tr
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start(output)
+
+
+def write_answers(
+    batch: DataFrame, number: int, model: PipelineModel, output: str, refused: str, include_key: bool = True
+) -> None:
+    """Write one micro-batch to both tables, each under the number of the batch.
+
+    A batch that is run again, after a failure between the two writes or after both, replaces what
+    it wrote before, so both tables hold every request once.
+    """
+    for rows, path in zip(answer(batch, model, include_key), (output, refused)):
+        rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
+def start_answering(
+    requests: DataFrame,
+    model: PipelineModel,
+    output: str,
+    refused: str,
+    checkpoint: str,
+    once: bool = True,
+    include_key: bool = True,
+) -> StreamingQuery:
+    """Write predictions of accepted requests to ``output`` and rejected requests with reasons to ``refused``.
+
+    Both are Parquet tables with a column ``batch``. ``once`` takes what is there now and stops.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        write_answers(batch, number, model, output, refused, include_key)
+
+    writer = requests.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -8,13 +8,14 @@ from shelfwise.operators.classify import fit_margin_classifier, fit_text_classif
 from shelfwise.operators.features import Projection, fit_projection, fit_scale, id_features
 from shelfwise.operators.sampling import with_split
 from shelfwise.plans.baseline import linear_baseline
-from shelfwise.plans.predict import predict
+from shelfwise.operators.validate import REASON
+from shelfwise.plans.predict import answer, predict
 from shelfwise.plans.preprocess import preprocess
 from shelfwise.plans.train import train_and_evaluate
 from shelfwise.schema import KEY, LABEL, REQUEST
 from shelfwise.sources.json_lines import write_json_lines
 from shelfwise.sources.tables import read_table
-from shelfwise.streaming.scoring import request_stream, start_scoring
+from shelfwise.streaming.scoring import request_stream, start_answering, start_scoring, write_answers
 
 
 @pytest.fixture(scope="module")
@@ -94,6 +95,28 @@ def test_stream_equals_batch_and_saved_equals_fitted(spark, folder, fitted, tmp_
     assert read_table(spark, target).count() == len(rows)
 
 
+def test_every_request_is_answered_once(spark, folder, fitted, tmp_path):
+    asked = products(spark, folder).drop(LABEL)
+    broken = asked.limit(5).withColumn("title", F.lit(None).cast("string"))
+    everything = asked.unionByName(broken).unionByName(broken)
+    good, refused = answer(everything, fitted.model, include_key=False)
+    assert good.count() == asked.count() and refused.count() == 10
+    assert {r[REASON] for r in refused.collect()} == {"title is missing"} and set(asked.columns) < set(refused.columns)
+    empty = answer(everything.limit(0), fitted.model)
+    assert empty[0].count() == empty[1].count() == 0
+    source, out, bad, state = (str(tmp_path / n) for n in ("in", "out", "bad", "state"))
+    everything.repartition(3).write.parquet(source)
+    stream = request_stream(spark, source, everything.schema, "parquet", files_per_batch=1)
+    for _ in range(2):  # the second run finds nothing new
+        start_answering(stream, fitted.model, out, bad, state, include_key=False).awaitTermination()
+        assert read_table(spark, out).count() == asked.count() and read_table(spark, bad).count() == 10
+    first = spark.read.parquet(sorted((tmp_path / "in").glob("*.parquet"))[0].as_uri())
+    for _ in range(2):  # the same batch again, whole or after one of its writes
+        write_answers(first, 90, fitted.model, out, bad, include_key=False)
+        found = read_table(spark, out).filter("batch = 90").count() + read_table(spark, bad).filter("batch = 90").count()
+        assert found == first.count()
+
+
 def test_counted_vocabulary_features(spark, folder):
     rows = with_split(texts(spark, folder), "doc_id")
     train, val = (rows.filter(F.col("split") == s) for s in ("train", "val"))

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.plans.etl import run_etl
+from shelfwise.plans.etl import routed_lines, run_etl
 from shelfwise.schema import PRODUCT
 from shelfwise.scratch import scratch_root, sized_for_join, written
 from shelfwise.sources.json_lines import MALFORMED, json_fields, read_json_lines, write_json_lines
@@ -90,3 +90,23 @@ def test_etl(spark, lines, tmp_path):
     assert rows[None] == ""  # a broken line stays as an empty text
     run_etl(spark, lines, target, fraction=0.0)
     assert read_table(spark, target).count() == 0
+
+
+def test_malformed_lines_are_routed(spark, tmp_path):
+    good = [f'{{"asin":"{i}","title":"t {i}","main_cat":"Books"}}' for i in range(200)]
+    bad = ['{"asin":"x"', "no json", '{"asin": "1", "description": "no list"}']
+    spark.createDataFrame([(x,) for x in good + bad + ["", "  "]], "value string").coalesce(1).write.option("compression", "gzip").text(str(tmp_path / "in"))
+    done = run_etl(spark, str(tmp_path / "in"), str(tmp_path / "out"), rejected=str(tmp_path / "bad"))
+    assert (done.lines, done.malformed) == (203, 3)
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert {r.asin for r in rows.collect()} == {str(i) for i in range(200)} and rows.count() == 200
+    assert {r.malformed for r in spark.read.parquet(str(tmp_path / "bad")).collect()} == set(bad)
+    kept, broken, _, _ = routed_lines(spark, str(tmp_path / "in"), partitions=5)
+    # one gzip file is one task; its rows lie in as many files as were asked for, for the work after
+    assert len(kept.inputFiles()) == 10 or len({f for f in kept.inputFiles() if "malformed_line=false" in f}) == 5
+    sampled = run_etl(spark, str(tmp_path / "in"), str(tmp_path / "half"), fraction=0.5, rejected=str(tmp_path / "bad"))
+    assert sampled.malformed == 3 and 0 < spark.read.parquet(str(tmp_path / "half")).count() < 200
+    assert run_etl(spark, str(tmp_path / "in"), str(tmp_path / "drop"), mode="DROPMALFORMED") is None
+    with pytest.raises(ValueError, match="malformed"):
+        run_etl(spark, str(tmp_path / "in"), str(tmp_path / "no"), mode="FAILFAST", rejected=str(tmp_path / "bad"))
+    assert spark.read.parquet(str(tmp_path / "drop")).count() == 200
