@@ -42,6 +42,7 @@ from shelfwise.operators.vocabulary import (
     word_vocabulary,
 )
 from shelfwise.plans.baseline import HINGE, MARGIN, linear_baseline
+from shelfwise.plans.epochs import train_by_epochs
 from shelfwise.plans.etl import run_etl
 from shelfwise.plans.explore import explore
 from shelfwise.plans.predict import answer, predict, request_text
@@ -1109,6 +1110,28 @@ def training_job(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(done.report, "precision", "recall", "f1", digits=3)
 
 
+@query(
+    f"""WITH train AS (SELECT count(*) AS n FROM documents WHERE ({_SPLIT_SQL}) = 'train'),
+largest AS (SELECT max(n) / sum(n) AS share FROM (SELECT count(*) AS n FROM documents GROUP BY lang))
+SELECT CAST(unnest(range(1, 4)) AS INTEGER) AS epoch, CAST(least(8, ceil(n / ceil(n / 8))) AS BIGINT) AS steps, n AS rows,
+       CAST(1 AS BIGINT) AS chosen_epochs, TRUE AS least_loss_chosen, TRUE AS beats_majority FROM train, largest"""
+)
+def epochs_trained(spark: SparkSession, folder: str) -> DataFrame:
+    """Three epochs of eight mini-batches: what SQL knows of them, and whether the choice and the model are sound."""
+    done = train_by_epochs(texts(spark, folder), LANGUAGES, key="doc_id")
+    least = F.min("val_loss").over(Window.partitionBy())
+    largest = table(spark, folder, "documents").groupBy("lang").count().agg(F.max("count") / F.sum("count")).first()[0]
+    sound = F.lit(done.summary.first()["accuracy"] > largest)
+    return done.epochs.select(
+        "epoch",
+        "steps",
+        "rows",
+        F.sum(F.col("chosen").cast("bigint")).over(Window.partitionBy()).alias("chosen_epochs"),
+        (~F.col("chosen") | (F.col("val_loss") == least)).alias("least_loss_chosen"),
+        sound.alias("beats_majority"),
+    )
+
+
 @query(
     """SELECT main_cat, array_to_string(list(price ORDER BY asin), ',') AS examples
 FROM (SELECT p_type AS main_cat, CAST(p_size AS VARCHAR) AS price, CAST(p_partkey AS VARCHAR) AS asin,

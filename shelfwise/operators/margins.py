@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators.sums import array_sum
 from shelfwise.scratch import written
 
 #: Step lengths tried in one pass, as multiples of the quasi-Newton step.
@@ -28,10 +29,8 @@ STEPS = (4.0, 1.0, 0.5, 0.25, 1 / 16, 1 / 256)
 ROUNDED = 0.01
 #: Pairs of steps and gradient changes remembered for each problem.
 MEMORY = 8
-# Numbers of one partial sum: 32 MB. Tasks add up all partial sums but this many for each number.
-MOST_CELLS, _FAN = 1 << 22, 16
-# Numbers in one row of a partial sum.
-_CHUNK = 1 << 13
+# Numbers of one partial sum: 32 MB.
+MOST_CELLS = 1 << 22
 _ROWS_AT_ONCE = 1 << 10
 
 
@@ -92,7 +91,7 @@ def _passed(rows: DataFrame, weights, directions, steps, first, second) -> tuple
     shape = (problems, len(steps), width + 1)
     sent = rows.sparkSession.sparkContext.broadcast((weights, directions, np.array(steps), first, second))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         weights, directions, steps, first, second = sent.value
         total = np.zeros(shape)
         for batch in batches:
@@ -112,25 +111,10 @@ def _passed(rows: DataFrame, weights, directions, steps, first, second) -> tuple
                     loss = np.where(short > ROUNDED, short - ROUNDED / 2, short * short / (2 * ROUNDED)) * inside
                     total[:, k, -1] += loss.sum(axis=0)
                     total[:, k, :-1] -= (bent * side).T @ x
-        flat = total.ravel()
-        for chunk, at in enumerate(range(0, len(flat), _CHUNK)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int32()), pa.array([flat[at : at + _CHUNK].tobytes()], pa.binary())], names=["chunk", "sums"]
-            )
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(s.as_py()) for s in table.column("sums"))
-        return pa.table({"chunk": table.column("chunk")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
-
-    partial = rows.mapInArrow(run, "chunk int, sums binary")
-    # one partial sum a task: they meet in a few groups, and the driver adds what those give
-    grouped = partial.groupBy("chunk", F.pmod(F.spark_partition_id(), F.lit(_FAN)).alias("some"))
-    total = np.zeros(int(np.prod(shape)))
-    for r in grouped.applyInArrow(add, "chunk int, sums binary").collect():
-        part = np.frombuffer(r["sums"])
-        total[r["chunk"] * _CHUNK : r["chunk"] * _CHUNK + len(part)] += part
+        return total.ravel()
+
+    total = array_sum(rows, partial, int(np.prod(shape))).reshape(shape)
     sent.unpersist()
-    total = total.reshape(shape)
     return total[:, :, -1], total[:, :, :-1]
 
 
