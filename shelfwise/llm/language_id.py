@@ -31,6 +31,8 @@ SAMPLE_ROWS = 2000
 BINS = 1 << 15
 SMOOTHING, ROUNDS, PENALTY = 2.0, 10, 2.0
 UNKNOWN = "und"
+# Text taken at a time: some hundred bytes of arrays stand behind each of its bytes.
+SLICE_BYTES = 1 << 20
 
 # Folded letters; 0 for what stands between words.
 _LETTERS = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
@@ -142,7 +144,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 22):
+            for batch in pieces(whole, "text", SLICE_BYTES):
                 langs = np.array(batch.column(0).to_pylist(), dtype=object)
                 for lang in dict.fromkeys(langs.tolist()):
                     w = windows_of(batch.column(1).filter(pa.array(langs == lang)))
@@ -180,7 +182,7 @@ def predict(docs: DataFrame, model: Model, held_out: str = "held_out") -> DataFr
         model = sent.value
         names = np.array([*model.names, UNKNOWN], dtype=object)
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 22):
+            for batch in pieces(whole, "text", SLICE_BYTES):
                 w = windows_of(batch.column(2))
                 counts = np.diff(w.row_words)
                 lettered = w.latin.copy()
