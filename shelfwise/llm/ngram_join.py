@@ -40,12 +40,15 @@ from shelfwise.scratch import written
 K, PERCENT = 5, 75
 # Shingles counted together in one task, members of a tile's cell, and words of a needed-filter.
 PART_SHINGLES, CELL_MEMBERS, FILTER_WORDS = 1_000_000, 400, 1 << 18
+# Text made into sets at a time.
+SLICE_BYTES = 1 << 21
 # Tiles of a cell's members looked at together, and bitmap words compared together.
 TILES_AT_ONCE, WORDS_AT_ONCE = 1024, 1 << 21
 
 SETS = "doc_id BIGINT, row_key BIGINT, n BIGINT, class BIGINT, bits BINARY"
 PACKED = "part INT, hashes BINARY, places BINARY, classes BINARY, sizes BINARY"
-SHARED = "class BIGINT, n BIGINT, shared ARRAY<STRUCT<held: BIGINT, token: BIGINT>>"
+SHARED = "bucket INT, classes BINARY, sizes BINARY, counts BINARY, tokens BINARY, held BINARY"
+POSTINGS = "class BIGINT, n BIGINT, weight BIGINT, token BIGINT"
 PAIRS = "a BIGINT, b BIGINT"
 
 
@@ -76,7 +79,7 @@ def bitmap(grams: np.ndarray) -> bytes:
 def document_sets(docs: DataFrame, k: int = K) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 22):
+            for batch in pieces(whole, "text", SLICE_BYTES):
                 grams, bounds, classes = sets_of(batch.column(2), k)
                 bits = [bitmap(grams[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
                 columns = [*batch.columns[:2], pa.array(np.diff(bounds)), pa.array(classes), pa.array(bits, pa.binary())]
@@ -90,7 +93,7 @@ def packed_shingles(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 23):
+            for batch in pieces(whole, "text", 2 * SLICE_BYTES):
                 grams, bounds, classes = sets_of(batch.column(0), k)
                 _, first = np.unique(classes, return_index=True)
                 kept = np.zeros(batch.num_rows, bool)
@@ -118,8 +121,16 @@ def packed_shingles(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
     return docs.select(F.col("text").cast("string")).mapInArrow(run, PACKED)
 
 
-def shared_shingles(packed: DataFrame) -> DataFrame:
-    """For each class (in pieces) the shingles that other classes hold too, with how many hold them."""
+def _bucket(classes: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(classes.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
+    """The shingles that several classes hold, with how many hold them, packed by buckets of classes.
+
+    A row answers one part of the hashes to one bucket of the classes; there are no more rows than
+    pairs of a class and a part, and far fewer while the buckets hold several classes.
+    """
 
     def merge(table: pa.Table) -> pa.Table:
         part, hashes, classes, sizes = table.column("part")[0].as_py(), [], [], []
@@ -139,13 +150,24 @@ def shared_shingles(packed: DataFrame) -> DataFrame:
         held = np.repeat(np.diff(np.append(starts, len(h))), np.diff(np.append(starts, len(h))))
         more = held > 1
         h, c, n, held = h[more], c[more], n[more], held[more]
-        order = np.argsort(c, kind="stable")
-        h, c, n, held = h[order], c[order], n[order], held[order]
+        bucket = _bucket(c, buckets)
+        order = np.lexsort((c, bucket))
+        h, c, n, held, bucket = h[order], c[order], n[order], held[order], bucket[order]
         starts = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, np.int64)
-        token = pa.array((np.int64(part) << 32) | h.astype(np.int64))
-        listed = pa.StructArray.from_arrays([pa.array(held.astype(np.int64)), token], names=["held", "token"])
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(c)).astype(np.int32)), listed)
-        return pa.table([pa.array(c[starts]), pa.array(n[starts]), lists], names=["class", "n", "shared"])
+        counts = np.diff(np.append(starts, len(c)))
+        tokens = (np.int64(part) << 32) | h.astype(np.int64)
+        named, first = np.unique(bucket, return_index=True)
+        rows = []
+        for b, x, y in zip(named.tolist(), first.tolist(), [*first[1:].tolist(), len(c)]):
+            i, j = np.searchsorted(starts, [x, y])
+            mine = starts[i:j]
+            columns = c[mine], n[mine], counts[i:j], tokens[x:y], held[x:y]
+            rows.append((b, *(v.astype("<i8").tobytes() for v in columns)))
+        columns = list(zip(*rows)) or [()] * 6
+        return pa.table(
+            [pa.array(columns[0], pa.int32()), *(pa.array(v, pa.binary()) for v in columns[1:])],
+            names=["bucket", "classes", "sizes", "counts", "tokens", "held"],
+        )
 
     return packed.groupBy("part").applyInArrow(merge, SHARED)
 
@@ -155,16 +177,24 @@ def postings(shared: DataFrame, percent: int) -> DataFrame:
 
     One more than needed is taken, for two shingles of a text shortened to the same token.
     """
-    rare = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("bigint") + 2
-    listed = F.sort_array(F.flatten(F.collect_list("shared")))
-    return (
-        shared.groupBy("class")
-        .agg(F.first("n").alias("n"), listed.alias("shared"))
-        .withColumn("take", rare - (F.col("n") - F.size("shared")))
-        .filter("take > 0")
-        .withColumn("weight", F.aggregate("shared", F.lit(0).cast("bigint"), lambda s, x: s + x["held"]))
-        .select("class", "n", "weight", F.explode(F.slice("shared", F.lit(1), F.col("take").cast("int"))["token"]).alias("token"))
-    )
+
+    def rarest(table: pa.Table) -> pa.Table:
+        classes, sizes, counts, tokens, held = (
+            np.concatenate([np.frombuffer(v.as_py(), "<i8") for v in table.column(name)])
+            for name in ("classes", "sizes", "counts", "tokens", "held")
+        )
+        c, n = np.repeat(classes, counts), np.repeat(sizes, counts)
+        order = np.lexsort((tokens, held, c))
+        c, n, tokens, held = c[order], n[order], tokens[order], held[order]
+        starts = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+        shared = np.diff(np.append(starts, len(c)))
+        n_of = n[starts]
+        take = n_of - -(-n_of * percent // 100) + 2 - (n_of - shared)
+        weight = np.repeat(np.add.reduceat(held, starts), shared)
+        kept = np.arange(len(c)) - np.repeat(starts, shared) < np.repeat(take, shared)
+        return pa.table([pa.array(v[kept]) for v in (c, n, weight, tokens)], names=["class", "n", "weight", "token"])
+
+    return shared.groupBy("bucket").applyInArrow(rarest, POSTINGS)
 
 
 def tiled(posts: DataFrame, percent: int) -> DataFrame:
@@ -271,9 +301,15 @@ def rest_pairs(tiles: DataFrame, sets: DataFrame, found: DataFrame, percent: int
     return grid.groupBy("token", "band", "row", "column").applyInArrow(compare, PAIRS)
 
 
+def _classes_in(pairs: DataFrame) -> DataFrame:
+    """The classes on either side, each once; sides are reduced before they meet."""
+    one, two = (pairs.select(F.col(side).alias("class")).distinct() for side in ("a", "b"))
+    return one.union(two).distinct()
+
+
 def _needed(pairs: DataFrame) -> np.ndarray:
     """A filter of fixed size over the classes in ``pairs``; it may let others pass."""
-    each = pairs.select(F.explode(F.array("a", "b")).alias("class"))
+    each = _classes_in(pairs)
     bit = F.pmod(F.col("class"), F.lit(FILTER_WORDS * 64))
     words = each.select((bit / 64).cast("bigint").alias("at"), F.expr(f"shiftleft(1L, CAST(pmod(class, {FILTER_WORDS * 64}) % 64 AS INT))").alias("bit"))
     found = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
@@ -292,7 +328,7 @@ def exact_links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         needed = sent.value
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 22):
+            for batch in pieces(whole, "text", SLICE_BYTES):
                 grams, bounds, classes = sets_of(batch.column(0), k)
                 bit = (classes % (FILTER_WORDS * 64)).astype(np.uint64)
                 wanted = (needed[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
@@ -304,7 +340,7 @@ def exact_links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> Data
                 )
 
     made = docs.select(F.col("text").cast("string")).mapInArrow(run, "class BIGINT, shingles ARRAY<BIGINT>")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    wanted = _classes_in(pairs)
     made = written(made.join(wanted, "class", "left_semi").dropDuplicates(["class"]), "shingle-sets")
     side = lambda name: made.select(F.col("class").alias(name), F.col("shingles").alias(f"of_{name}"))
     both = F.size(F.array_intersect("of_a", "of_b"))
@@ -319,7 +355,7 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
     classes = written(classes, "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-int(total) // PART_SHINGLES))
-    posts = written(postings(shared_shingles(packed_shingles(docs, parts, k)), percent), "postings")
+    posts = written(postings(shared_shingles(packed_shingles(docs, parts, k), parts), percent), "postings")
     tiles = tiled(posts, percent)
     links = written(exact_links(docs, written(leader_pairs(tiles), "leaders"), k, percent), "links")
     found = written(components(links), "components")
