@@ -47,7 +47,7 @@ TILES_AT_ONCE, WORDS_AT_ONCE = 1024, 1 << 21
 
 SETS = "doc_id BIGINT, row_key BIGINT, n BIGINT, class BIGINT, bits BINARY"
 PACKED = "part INT, hashes BINARY, places BINARY, classes BINARY, sizes BINARY"
-SHARED = "bucket INT, classes BINARY, sizes BINARY, counts BINARY, tokens BINARY, held BINARY"
+SHARED = "bucket INT, part INT, classes BINARY, sizes BINARY, counts BINARY, hashes BINARY, held BINARY"
 POSTINGS = "class BIGINT, n BIGINT, weight BIGINT, token BIGINT"
 PAIRS = "a BIGINT, b BIGINT"
 
@@ -110,7 +110,7 @@ def packed_shingles(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
                 for p in np.flatnonzero(np.diff(ends)):
                     held, place = np.unique(rows[ends[p] : ends[p + 1]], return_inverse=True)
                     kind = "<u2" if len(held) < 1 << 16 else "<u4"
-                    blobs = (grams[ends[p] : ends[p + 1]], place.astype(kind), classes[held], sizes[held].astype("<i8"))
+                    blobs = (grams[ends[p] : ends[p + 1]], place.astype(kind), classes[held], sizes[held].astype("<u4"))
                     found.append((int(p), *(x.tobytes() for x in blobs)))
                 columns = list(zip(*found)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
@@ -139,7 +139,7 @@ def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
             place = np.frombuffer(r["places"], "<u2" if len(own) < 1 << 16 else "<u4")
             hashes.append(h)
             classes.append(own[place])
-            sizes.append(np.frombuffer(r["sizes"], "<i8")[place])
+            sizes.append(np.frombuffer(r["sizes"], "<u4").astype(np.int64)[place])
         h, c, n = np.concatenate(hashes), np.concatenate(classes), np.concatenate(sizes)
         order = np.lexsort((c, h))
         h, c, n = h[order], c[order], n[order]
@@ -155,18 +155,18 @@ def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
         h, c, n, held, bucket = h[order], c[order], n[order], held[order], bucket[order]
         starts = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, np.int64)
         counts = np.diff(np.append(starts, len(c)))
-        tokens = (np.int64(part) << 32) | h.astype(np.int64)
         named, first = np.unique(bucket, return_index=True)
         rows = []
         for b, x, y in zip(named.tolist(), first.tolist(), [*first[1:].tolist(), len(c)]):
             i, j = np.searchsorted(starts, [x, y])
             mine = starts[i:j]
-            columns = c[mine], n[mine], counts[i:j], tokens[x:y], held[x:y]
-            rows.append((b, *(v.astype("<i8").tobytes() for v in columns)))
-        columns = list(zip(*rows)) or [()] * 6
+            # a text's shingles and a part's classes both stay below 2**32
+            columns = n[mine], counts[i:j], h[x:y], held[x:y]
+            rows.append((b, part, c[mine].tobytes(), *(v.astype("<u4").tobytes() for v in columns)))
+        columns = list(zip(*rows)) or [()] * 7
         return pa.table(
-            [pa.array(columns[0], pa.int32()), *(pa.array(v, pa.binary()) for v in columns[1:])],
-            names=["bucket", "classes", "sizes", "counts", "tokens", "held"],
+            [*(pa.array(v, pa.int32()) for v in columns[:2]), *(pa.array(v, pa.binary()) for v in columns[2:])],
+            names=["bucket", "part", "classes", "sizes", "counts", "hashes", "held"],
         )
 
     return packed.groupBy("part").applyInArrow(merge, SHARED)
@@ -179,10 +179,12 @@ def postings(shared: DataFrame, percent: int) -> DataFrame:
     """
 
     def rarest(table: pa.Table) -> pa.Table:
-        classes, sizes, counts, tokens, held = (
-            np.concatenate([np.frombuffer(v.as_py(), "<i8") for v in table.column(name)])
-            for name in ("classes", "sizes", "counts", "tokens", "held")
+        classes, sizes, counts, hashes, held = (
+            np.concatenate([np.frombuffer(v.as_py(), kind) for v in table.column(name)]).astype(np.int64)
+            for name, kind in (("classes", "<i8"), ("sizes", "<u4"), ("counts", "<u4"), ("hashes", "<u4"), ("held", "<u4"))
         )
+        answers = [len(v.as_py()) // 4 for v in table.column("hashes")]
+        tokens = (np.repeat(table.column("part").to_numpy().astype(np.int64), answers) << 32) | hashes
         c, n = np.repeat(classes, counts), np.repeat(sizes, counts)
         order = np.lexsort((tokens, held, c))
         c, n, tokens, held = c[order], n[order], tokens[order], held[order]
