@@ -7,21 +7,24 @@ taken out of all counts.
 
 1. Documents become blocks (written once): distinct word hashes and each token's place among them.
 2. A block's distinct words and bigrams are counted for its training documents and dealt to parts
-   by hash, packed and sorted; a part adds up the counts of all blocks and answers every block with
-   totals in the order asked. Both are in proportion to the distinct n-grams of blocks.
-3. Blocks with their totals give the weights' statistics on a fixed grid of logarithms, then scores.
+   by hash range, packed and sorted; a part adds up the counts of all blocks and answers every block
+   with totals in the order asked. Both are in proportion to the distinct n-grams of blocks.
+3. Blocks meet their totals once; each token's two totals are written. From these come the weights'
+   statistics on a fixed grid of logarithms, and then the scores, without another shuffle.
 
-Words are 64-bit hashes, bigrams 48 bits and their part. Nothing is pruned. ``BLOCK_BYTES`` bounds a
-block but for single longer texts; ``PART_TOKENS`` bounds the tokens behind a part.
+Words and bigrams are 64-bit hashes, totals 64 bits. Nothing is pruned. ``BLOCK_BYTES`` bounds a
+block but for single longer texts; ``PART_TOKENS`` bounds the tokens behind a part. For the weights
+alone, estimates are rounded to a quarter of a power of two (a factor of at most 1.1); scores use
+exact ones.
 
 Defined cases: null is empty and has one token, the end; without training tokens every token has
 probability 1 / (V + 1) with V = 0; a null doc_id counts as the empty text in folds; repeated rows
-are counted and scored each.
+are counted and scored each; a text longer than a block is a block of its own; columns other than
+``doc_id`` and ``text`` are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,24 +34,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.folds import fold
+from shelfwise.llm.packed import packed, packed_sorted, unpacked, unpacked_sorted
 from shelfwise.llm.words import SPACED, joined, pieces, words_of
 from shelfwise.scratch import written
 
 BLOCK_BYTES, PART_TOKENS = 1 << 22, 1_000_000
 BUCKETS, GRID, ROUNDS = 40, 4, 60
+# Places of the grid: logarithms of estimates lie above -64.
+SIDE = 1024
 
 # Hashes of what is not a word.
 END, START = np.uint64(0x51ED270B9F8A3C4D), np.uint64(0x2C9277B5F1D4E683)
 
 BLOCKS = "block STRING, doc_id ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, n_tokens ARRAY<BIGINT>, words BINARY, tokens BINARY"
-ASKED = "kind INT, part INT, block STRING, low BINARY, high BINARY, counts BINARY"
-TOTALS = "block STRING, kind INT, part INT, totals BINARY, known BIGINT"
-CELLS = "bucket INT, two INT, one INT, weight BIGINT"
+ASKED = "kind INT, part BIGINT, block STRING, keys BINARY, counts BINARY"
+TOTALS = "block STRING, kind INT, part BIGINT, totals BINARY, known BIGINT"
+COUNTED = (
+    "doc_id ARRAY<BIGINT>, held_out ARRAY<BOOLEAN>, n_tokens ARRAY<BIGINT>, n_known ARRAY<BIGINT>, "
+    "base_score ARRAY<DOUBLE>, one BINARY, two BINARY"
+)
+CELLS = "cell BIGINT, weight BIGINT"
 SCORES = (
     "doc_id BIGINT, held_out BOOLEAN, n_tokens BIGINT, n_known BIGINT, train_tokens BIGINT, base_score DOUBLE, score DOUBLE"
 )
 
 
+def _batch(schema: str, *rows: tuple) -> pa.RecordBatch:
+    """Rows as a record batch with the columns of a Spark schema."""
+    kinds = {"STRING": pa.string(), "BINARY": pa.binary(), "INT": pa.int32(), "BIGINT": pa.int64()}
+    kinds |= {"BOOLEAN": pa.bool_(), "DOUBLE": pa.float64()}
+    fields = [f.split() for f in schema.split(", ")]
+    types = [pa.list_(kinds[k[6:-1]]) if k.startswith("ARRAY<") else kinds[k] for _, k in fields]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(fields), types)]
+    return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time, since each holds whole arrays."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def document_blocks(docs: DataFrame) -> DataFrame:
     """``docs``: doc_id, held_out, text."""
 
@@ -59,73 +86,64 @@ def document_blocks(docs: DataFrame) -> DataFrame:
                 words = words_of(batch.column(2), SPACED)
                 hashes = np.insert(words.hashes, words.bounds[1:], END)
                 held, places = np.unique(hashes, return_inverse=True)
-                row = [f"{task}-{number}", batch.column(0).to_pylist(), batch.column(1).to_pylist(), (words.counts() + 1).tolist()]
+                row = [batch.column(0).to_pylist(), batch.column(1).to_pylist(), (words.counts() + 1).tolist()]
+                yield _batch(BLOCKS, (f"{task}-{number}", *row, packed_sorted(held), packed(places)))
                 number += 1
-                cells = [*row, held.tobytes(), places.astype("<u4").tobytes()]
-                kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c], k) for c, k in zip(cells, kinds)],
-                    names=["block", "doc_id", "held_out", "n_tokens", "words", "tokens"],
-                )
 
     return docs.select(F.col("doc_id").cast("bigint"), "held_out", F.col("text").cast("string")).mapInArrow(run, BLOCKS)
 
 
 class Block:
-    """A block's tokens, their contexts, its distinct bigrams, and which tokens are trained on."""
+    """A block's tokens, its distinct bigrams, and which tokens are trained on."""
 
     def __init__(self, row: dict):
         self.sizes = np.array(row["n_tokens"], dtype=np.int64)
-        self.held_out = np.array(row["held_out"], dtype=bool)
-        self.doc_id = row["doc_id"]
-        self.words = np.frombuffer(row["words"], np.uint64)
-        self.tokens = np.frombuffer(row["tokens"], "<u4").astype(np.int64)
-        self.firsts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+        self.doc_id, self.held_out = row["doc_id"], row["held_out"]
+        self.words = unpacked_sorted(row["words"])
+        self.tokens = unpacked(row["tokens"]).astype(np.int64)
         context = np.empty_like(self.tokens)
         context[1:] = self.tokens[:-1]
-        context[self.firsts] = len(self.words)
-        self.trained = np.repeat(~self.held_out, self.sizes)
+        context[first_places(self.sizes)] = len(self.words)
         pairs, self.kinds = np.unique(context * (len(self.words) + 1) + self.tokens, return_inverse=True)
-        self.context, self.word = np.divmod(pairs, len(self.words) + 1)
-        hashes = joined(np.append(self.words, START)[self.context], self.words[self.word])
+        before, word = np.divmod(pairs, len(self.words) + 1)
+        hashes = joined(np.append(self.words, START)[before], self.words[word])
         # in the order of the hashes, as parts are asked
         self.order = np.argsort(hashes)
         self.pair_hashes = hashes[self.order]
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of the words and of the bigrams (in the order asked)."""
-        one = np.bincount(self.tokens[self.trained], minlength=len(self.words))
-        two = np.bincount(self.kinds[self.trained], minlength=len(self.context))
+        trained = np.repeat(~np.array(self.held_out, dtype=bool), self.sizes)
+        one = np.bincount(self.tokens[trained], minlength=len(self.words))
+        two = np.bincount(self.kinds[trained], minlength=len(self.order))
         return one, two[self.order]
 
 
+def first_places(sizes: np.ndarray) -> np.ndarray:
+    """Where each document's tokens start."""
+    return np.cumsum(sizes) - sizes
+
+
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return ((hashes & np.uint64(0xFFFF)) % np.uint64(parts)).astype(np.int64)
+    """Parts are even ranges of the hash's upper 32 bits, so sorted hashes are sorted by part."""
+    return (((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
 def asked(blocks: DataFrame, parts: int) -> DataFrame:
     """The n-grams of each block with their counts, a row for each kind and part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row)
-                found = []
-                for kind, hashes, counts in zip((1, 2), (block.words, block.pair_hashes), block.counts()):
-                    part = _part(hashes, parts)
-                    order = np.argsort(part, kind="stable")
-                    ends = np.searchsorted(part[order], np.arange(parts + 1))
-                    low = ((hashes >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype("<u4")[order]
-                    high = (hashes >> np.uint64(48)).astype("<u2")[order]
-                    rest = hashes.astype("<u2")[order] if kind == 1 else None
-                    counts = counts.astype("<u4")[order]
-                    for p in np.flatnonzero(np.diff(ends)):
-                        span = slice(ends[p], ends[p + 1])
-                        top = high[span].tobytes() + (rest[span].tobytes() if kind == 1 else b"")
-                        found.append((kind, int(p), row["block"], low[span].tobytes(), top, zlib.compress(counts[span].tobytes(), 1)))
-                kinds = [pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=["kind", "part", "block", "low", "high", "counts"]
+        for row in _rows(batches):
+            block = Block(row)
+            for kind, hashes, counts in zip((1, 2), (block.words, block.pair_hashes), block.counts()):
+                part = _part(hashes, parts)
+                cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+                yield _batch(
+                    ASKED,
+                    *(
+                        (kind, int(part[a]), row["block"], packed_sorted(hashes[a:b]), packed(counts[a:b]))
+                        for a, b in zip(cuts, cuts[1:])
+                    ),
                 )
 
     return blocks.mapInArrow(run, ASKED)
@@ -135,42 +153,48 @@ def totals(requests: DataFrame) -> DataFrame:
     """Each block's request answered with counts over all blocks; ``known``: a part's n-grams trained on."""
 
     def add(table: pa.Table) -> pa.Table:
-        kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
-        rows = table.select(["block", "low", "high", "counts"]).to_pylist()
-        keys = []
-        for r in rows:
-            low = np.frombuffer(r["low"], "<u4").astype(np.uint64)
-            top = np.frombuffer(r["high"], "<u2").astype(np.uint64)
-            key = (top[: len(low)] << np.uint64(48)) | (low << np.uint64(16))
-            keys.append(key | top[len(low) :] if kind == 1 else key)
-        counts = np.concatenate([np.frombuffer(zlib.decompress(r["counts"]), "<u4") for r in rows])
+        rows = table.to_pylist()
+        keys = [unpacked_sorted(r["keys"]) for r in rows]
         unique, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, weights=counts, minlength=len(unique)).astype(np.int64)
-        ends = np.cumsum([len(k) for k in keys])
-        answers = [zlib.compress(total[at[e - len(k) : e]].astype("<u4").tobytes(), 1) for e, k in zip(ends, keys)]
-        known = [int((total > 0).sum())] + [0] * (len(rows) - 1)
-        return pa.table(
-            [pa.array([r["block"] for r in rows]), pa.array([kind] * len(rows), pa.int32()), pa.array([part] * len(rows), pa.int32()), pa.array(answers, pa.binary()), pa.array(known, pa.int64())],
-            names=["block", "kind", "part", "totals", "known"],
-        )
+        total = np.zeros(len(unique), np.int64)
+        np.add.at(total, at, np.concatenate([unpacked(r["counts"]) for r in rows]).astype(np.int64))
+        known, end, answers = int((total > 0).sum()), 0, []
+        for r, k in zip(rows, keys):
+            answers.append((r["block"], r["kind"], r["part"], packed(total[at[end : end + len(k)]]), known))
+            known, end = 0, end + len(k)
+        return pa.Table.from_batches([_batch(TOTALS, *answers)])
 
     return requests.groupBy("kind", "part").applyInArrow(add, TOTALS)
 
 
-def _answered(block: Block, answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Training totals of the block's words, of its bigrams, and of the bigrams' contexts."""
-    rows = sorted(answers.select(["kind", "part", "totals"]).to_pylist(), key=lambda r: (r["kind"], r["part"]))
-    out = []
-    for kind, hashes in ((1, block.words), (2, block.pair_hashes)):
-        listed = [np.frombuffer(zlib.decompress(r["totals"]), "<u4") for r in rows if r["kind"] == kind]
-        found = np.empty(len(hashes), np.int64)
-        found[np.argsort(_part(hashes, parts), kind="stable")] = np.concatenate(listed)
-        out.append(found)
-    one, asked_two = out
-    two = np.empty_like(asked_two)
-    two[block.order] = asked_two
-    # a document starts as often as one ends
-    return one, two, np.append(one, one[np.searchsorted(block.words, END)])[block.context]
+def counted(blocks: DataFrame, answers: DataFrame, tokens: int, known: int) -> DataFrame:
+    """Each block's documents with their base scores, and for each token the totals of its word and bigram."""
+
+    def run(block_rows: pa.Table, answer_rows: pa.Table) -> pa.Table:
+        block = Block(block_rows.to_pylist()[0])
+        rows = sorted(answer_rows.select(["kind", "part", "totals"]).to_pylist(), key=lambda r: (r["kind"], r["part"]))
+        # parts are in the order of the hashes
+        one, asked_two = (np.concatenate([unpacked(r["totals"]) for r in rows if r["kind"] == k]).astype(np.int64) for k in (1, 2))
+        two = np.empty_like(asked_two)
+        two[block.order] = asked_two
+        firsts = first_places(block.sizes)
+        base = np.log10((one + 0.1) / (tokens + 0.1 * (known + 1)))[block.tokens]
+        seen = np.add.reduceat((one > 0)[block.tokens].astype(np.int64), firsts)
+        documents = (block.doc_id, block.held_out, block.sizes.tolist(), seen.tolist(), np.add.reduceat(base, firsts).tolist())
+        return pa.Table.from_batches([_batch(COUNTED, (*documents, packed(one[block.tokens]), packed(two[block.kinds])))])
+
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, COUNTED)
+
+
+def token_totals(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of a row's documents, and for each token the totals of its word, its bigram and its context."""
+    sizes = np.array(row["n_tokens"], dtype=np.int64)
+    one, two = (unpacked(row[c]).astype(np.int64) for c in ("one", "two"))
+    context = np.empty_like(one)
+    context[1:] = one[:-1]
+    # a document starts as often as one ends, and each ends with the end
+    context[first_places(sizes)] = one[-1]
+    return sizes, one, two, context
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -178,29 +202,28 @@ def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.where(context > 0, np.floor(np.log2(np.maximum(context, 1))) + 1, 0), BUCKETS - 1).astype(np.int64)
 
 
-def _with_answers(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
-
-
-def held_out_cells(blocks: DataFrame, answers: DataFrame, parts: int, tokens: int) -> DataFrame:
+def held_out_cells(rows: DataFrame, tokens: int) -> DataFrame:
     """Training bigrams with their own place taken out, on a grid of their two estimates' logarithms."""
 
-    def run(block_rows: pa.Table, answer_rows: pa.Table) -> pa.Table:
-        block = Block(block_rows.to_pylist()[0])
-        one, two, context = _answered(block, answer_rows, parts)
-        weight = np.bincount(block.kinds[block.trained], minlength=len(two))
-        used = weight > 0
-        weight, c2, c1, cv = weight[used], two[used] - 1, one[block.word][used] - 1, context[used] - 1
-        with np.errstate(divide="ignore"):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            sizes, one, two, context = token_totals(row)
+            used = np.repeat(~np.array(row["held_out"], dtype=bool), sizes)
+            c2, c1, cv = two[used] - 1, one[used] - 1, context[used] - 1
             grid2 = np.where((c2 > 0) & (cv > 0), np.round(GRID * np.log2(np.maximum(c2, 1) / np.maximum(cv, 1))), 1)
             grid1 = np.where(c1 > 0, np.round(GRID * np.log2(np.maximum(c1, 1) / max(tokens - 1, 1))), 1)
-        cells, at = np.unique(np.stack([bucket_of(cv), grid2.astype(np.int64), grid1.astype(np.int64)], axis=1), axis=0, return_inverse=True)
-        sums = np.bincount(at.ravel(), weights=weight, minlength=len(cells)).astype(np.int64)
-        columns = [pa.array(cells[:, i], pa.int32()) for i in range(3)]
-        return pa.table([*columns, pa.array(sums)], names=["bucket", "two", "one", "weight"])
+            cell = (bucket_of(cv) * SIDE + grid2.astype(np.int64) + SIDE // 2) * SIDE + grid1.astype(np.int64) + SIDE // 2
+            cells, weight = np.unique(cell, return_counts=True)
+            yield _batch(CELLS, *zip(cells.tolist(), weight.tolist()))
 
-    cells = _with_answers(blocks, answers, run, CELLS)
-    return cells.groupBy("bucket", "two", "one").agg(F.sum("weight").alias("weight"))
+    return rows.select("n_tokens", "held_out", "one", "two").mapInArrow(run, CELLS).groupBy("cell").agg(F.sum("weight").alias("weight"))
+
+
+def cell_columns(cells: pa.Table) -> pa.Table:
+    """``bucket``, ``two``, ``one`` (grid places of the estimates, 1 for none) and ``weight``."""
+    rest, one = np.divmod(cells.column("cell").to_numpy().astype(np.int64), SIDE)
+    bucket, two = np.divmod(rest, SIDE)
+    return pa.table({"bucket": bucket, "two": two - SIDE // 2, "one": one - SIDE // 2, "weight": cells.column("weight")})
 
 
 def learned_weights(cells: pa.Table, known: int) -> np.ndarray:
@@ -224,23 +247,17 @@ def learned_weights(cells: pa.Table, known: int) -> np.ndarray:
     return weights / weights.sum(axis=1, keepdims=True)
 
 
-def scored(blocks: DataFrame, answers: DataFrame, parts: int, tokens: int, known: int, weights: np.ndarray) -> DataFrame:
-    def run(block_rows: pa.Table, answer_rows: pa.Table) -> pa.Table:
-        block = Block(block_rows.to_pylist()[0])
-        one, two, context = _answered(block, answer_rows, parts)
-        a, b, c = weights[bucket_of(context)].T
-        chance = a * two / np.maximum(context, 1) + b * one[block.word] / max(tokens, 1) + c / (known + 1)
-        each = np.log10(chance)[block.kinds]
-        base = np.log10((one + 0.1) / (tokens + 0.1 * (known + 1)))[block.tokens]
-        summed = lambda x: np.add.reduceat(x, block.firsts)
-        columns = [
-            pa.array(block.doc_id, pa.int64()), pa.array(block.held_out), pa.array(block.sizes),
-            pa.array(summed((one > 0)[block.tokens].astype(np.int64))), pa.array(np.full(len(block.sizes), tokens)),
-            pa.array(summed(base)), pa.array(summed(each)),
-        ]
-        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+def scored(rows: DataFrame, tokens: int, known: int, weights: np.ndarray) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            sizes, one, two, context = token_totals(row)
+            a, b, c = weights[bucket_of(context)].T
+            chance = a * two / np.maximum(context, 1) + b * one / max(tokens, 1) + c / (known + 1)
+            score = np.add.reduceat(np.log10(chance), first_places(sizes)).tolist()
+            documents = (row["doc_id"], row["held_out"], row["n_tokens"], row["n_known"])
+            yield _batch(SCORES, *zip(*documents, [tokens] * len(sizes), row["base_score"], score))
 
-    return _with_answers(blocks, answers, run, SCORES)
+    return rows.mapInArrow(run, SCORES)
 
 
 def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
@@ -248,13 +265,14 @@ def score_documents(docs: DataFrame, folds: int = 10) -> DataFrame:
     split = docs.select("doc_id", (fold("doc_id", folds) == 0).alias("held_out"), "text")
     blocks = written(document_blocks(split), "lm-blocks")
     trained = F.aggregate(F.zip_with("n_tokens", "held_out", lambda n, h: F.when(h, 0).otherwise(n)), F.lit(0).cast("bigint"), lambda s, n: s + n)
-    sums = blocks.agg(F.sum(trained).alias("trained"), F.sum(F.length("tokens") / 4).alias("all")).first()
+    every = F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda s, n: s + n)
+    sums = blocks.agg(F.sum(trained).alias("trained"), F.sum(every).alias("all")).first()
     tokens, parts = int(sums["trained"] or 0), max(1, -(-int(sums["all"] or 0) // PART_TOKENS))
     answers = written(totals(asked(blocks, parts)), "lm-totals")
     known = int(answers.filter("kind = 1").agg(F.sum("known")).first()[0] or 0)
-    answers = answers.drop("known")
+    rows = written(counted(blocks, answers.drop("known"), tokens, known), "lm-counted")
     if tokens:
-        weights = learned_weights(held_out_cells(blocks, answers, parts, tokens).toArrow(), known)
+        weights = learned_weights(cell_columns(held_out_cells(rows, tokens).toArrow()), known)
     else:
         weights = np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
-    return scored(blocks, answers, parts, tokens, known, weights)
+    return scored(rows, tokens, known, weights)
