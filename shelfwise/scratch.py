@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Folders made for local sessions that name none, by application.
 _LOCAL_ROOTS: dict[str, str] = {}
+# Spark's setting that drops the shuffle files of a query when it has ended.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -33,13 +37,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/shelfwise/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries ended inside leave no shuffle files behind.
+
+    Otherwise these stay on the executors' disks until the driver happens to collect garbage. For
+    writes only: what was written no longer needs its shuffles, whatever executors are lost.
+    """
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder once and read back.
 
-    Later readers see fixed rows in columnar form, whatever executors are lost meanwhile.
+    Later readers see fixed rows in columnar form, whatever executors are lost meanwhile. The
+    shuffles behind the rows are freed.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
