@@ -3,7 +3,9 @@
 A run is a table of (line key digest, documents), bucketed and sorted by digest. A batch reduces
 its lines to one row a digest, merge-anti-joins the runs to learn which digests are new, and adds
 itself as a run of level 0. When a level holds ``fanout`` runs they are merged (counts added) into
-one run of the next level. A manifest row commits each change; the newest version counts.
+one run of the next level. Every run is written to a folder of its own; a manifest row commits each
+change and the newest version counts, so what a lost driver left half done is never read. The bucket
+count is kept with the runs.
 
 Defined cases: a null or empty text is one empty line; keys shorter than ``least_chars`` never
 count; each row counts as a document of its own; a text whose lines all go becomes empty; an empty
@@ -13,6 +15,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import string
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,25 +47,18 @@ def key_counts(docs: DataFrame, least_chars: int = 1, text: str = "text") -> Dat
 
 
 class LineRuns:
-    """The levelled runs under ``path``; reopen them with the path and the bucket count."""
+    """The levelled runs under ``path``, new or kept from earlier sessions."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, fanout: int = 4):
         self.spark = spark
         self.path = path or scratch_path(spark, "line-runs")
-        self.buckets = buckets or stored.buckets_of(spark)
+        self.buckets = stored.settled_buckets(spark, self.path, buckets)
         self.fanout = fanout
         self._log = f"{self.path}/manifest"
-        if path is None:
-            self.levels: list[tuple[int, str]] = []
-            self.version = 0
-        else:
-            self._reopen()
-
-    def _reopen(self) -> None:
-        log = self.spark.read.schema("version INT, level INT, run STRING").parquet(self._log)
-        newest = log.agg(F.max("version")).first()[0]
-        held = log.filter((F.col("version") == newest) & F.col("run").isNotNull()).orderBy("level", "run").collect()
-        self.version, self.levels = newest or 0, [(r["level"], r["run"]) for r in held]
+        rows = stored.small_rows(spark, self._log, "version INT, level INT, run STRING")
+        self.version = max((r["version"] for r in rows), default=0)
+        held = [(r["level"], r["run"]) for r in rows if r["version"] == self.version]
+        self.levels: list[tuple[int, str]] = sorted(held)
 
     def _commit(self, levels: list[tuple[int, str]]) -> None:
         self.version += 1
@@ -75,7 +71,7 @@ class LineRuns:
         return self.spark.table(stored.attach(self.spark, path, RUN, "line_key", self.buckets))
 
     def _store(self, rows: DataFrame, level: int) -> tuple[int, str]:
-        path = f"{self.path}/level-{level}-version-{self.version + 1}"
+        path = f"{self.path}/level-{level}-{uuid.uuid4().hex}"
         name = stored.attach(self.spark, path, RUN, "line_key", self.buckets)
         stored.append(rows.select("line_key", "docs", "fresh"), name, "line_key", self.buckets)
         return level, path
@@ -156,12 +152,12 @@ def drop_lines(docs: DataFrame, totals: DataFrame, least_docs: int, least_chars:
 
 
 def drop_repeated_lines(
-    docs: DataFrame, least_docs: int = 10, least_chars: int = 1, batches: int = 2, runs: LineRuns | None = None
+    docs: DataFrame, least_docs: int = 10, least_chars: int = 1, batches: int = 4, runs: LineRuns | None = None
 ) -> DataFrame:
     """Every document without the lines found in at least ``least_docs`` documents.
 
     The documents' counts are taken in one pass and enter the runs in ``batches`` batches by a hash
-    of the document.
+    of the document; as many as the runs' ``fanout`` or more are compacted on the way.
     """
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
     each = F.explode(F.array_compact(F.array_distinct(line_keys(F.col("text"), least_chars))))

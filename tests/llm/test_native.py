@@ -40,6 +40,32 @@ def test_exact_hot_group_and_later_batches(spark, rows):
     fresh = again.add(digests(rows([*many[:12], (50, "new"), (51, "new")])))
     assert sorted((r.keep_id, r.group_size) for r in fresh.collect()) == [(10, 1), (51, 2)]
     assert again.rows().count() == 8
+    sizes = {r.keep_id: r.group_size for r in again.rows().collect()}
+    # ids 1, 3, 5, 7, 9 came first and 1 to 11 again
+    assert sizes[9] == 11 and sizes[8] == 2 and sizes[51] == 2
+
+
+def test_a_stored_index_keeps_its_buckets(spark, rows):
+    path = scratch_path(spark, "index-width")
+    texts = [(i, f"text {i}") for i in range(200)]
+    DigestIndex(spark, path, 4).add(digests(rows(texts)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    again = DigestIndex(spark, path)
+    assert again.buckets == 4 and again.add(digests(rows(texts))).count() == 0
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    with pytest.raises(ValueError):
+        DigestIndex(spark, path, 8)
+
+
+def test_batches_of_falling_ids_settle_the_keeper(spark, rows):
+    pairs = [(i, f"text {i % 7}") for i in range(100)] + [(None, "text 3"), (None, "alone")]
+    for batches in (1, 2, 5):
+        index = DigestIndex(spark)
+        index.add_falling(digests(rows(pairs)), batches)
+        got = {(r.digest, r.keep_id, r.group_size) for r in index.rows().collect()}
+        sizes = Counter(t for _, t in pairs)
+        assert got == {(sha(t), max((i for i, x in pairs if x == t and i is not None), default=None), n) for t, n in sizes.items()}
 
 
 def test_without_duplicates_keeps_columns(rows):
@@ -47,6 +73,9 @@ def test_without_duplicates_keeps_columns(rows):
     kept = without_duplicates(df)
     assert kept.columns == df.columns
     assert Counter(r.doc_id for r in kept.collect())[10] == 1 and kept.filter("doc_id in (4, 5)").count() == 0
+    again = df.union(df).selectExpr("*", "1 AS _keep", "2 AS _digest", "3 AS document_key")
+    once = without_duplicates(again)
+    assert once.columns == again.columns and once.count() == kept.count() == len({sha(t) for _, t in ODD})
     assert mark_duplicates(rows([])).count() == 0 and without_duplicates(rows([])).count() == 0
 
 
@@ -112,6 +141,13 @@ def test_runs_are_compacted_and_reopened(spark, rows):
     assert [n for n, _ in runs.levels] == [2]
     again = LineRuns(spark, runs.path, 4)
     assert again.levels == runs.levels and again.version == runs.version and path
+    chosen = LineRuns(spark, path)
+    chosen.add(key_counts(rows(pairs[:2])))
+    # a driver lost between writing a run and committing it leaves a folder that nobody reads
+    chosen._store(key_counts(rows(pairs[:2])).selectExpr("*", "true AS fresh"), 0)
+    reopened = LineRuns(spark, path)
+    reopened.add(key_counts(rows(pairs[2:3])))
+    assert {(r.docs) for r in LineRuns(spark, path).totals().collect()} == {3, 1}
     totals = {r.docs for r in again.totals().collect()}
     assert totals == {12, 4, 1} and again.totals().count() == 16
 
