@@ -16,8 +16,17 @@ DIGITS = 8
 
 
 def digest(keys: str | Sequence[str], seed: int = 42, epoch: int = 0) -> Column:
+    """Hex digest of the key columns of a row.
+
+    A null key differs from an empty one. In composite keys each part carries its length, so that
+    parts of different lengths never run into each other.
+    """
     names = [keys] if isinstance(keys, str) else list(keys)
-    parts = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]
+    parts = [F.col(n).cast("string") for n in names]
+    if len(parts) > 1:
+        sized = [F.concat(F.char_length(p).cast("string"), F.lit(":"), p) for p in parts]
+        parts = [F.coalesce(p, F.lit("-")) for p in sized]
+    # concat_ws leaves a null out with its separator
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(epoch)), *parts))
 
 

@@ -171,8 +171,8 @@ def running_means(
 
 
 def cross_entropy(probability: Column) -> Column:
-    """Loss of one row from the probability given to its actual label."""
-    return -F.log(F.greatest(probability, F.lit(1e-15)))
+    """Loss of one row from the probability given to its actual label; null if there is none."""
+    return F.when(probability.isNotNull(), -F.log(F.greatest(probability, F.lit(1e-15))))
 
 
 def softmax_at(scores: Column, position: Column) -> Column:

@@ -94,3 +94,9 @@ def test_best_candidate(spark):
     rows = [(1, 0.5), (2, 0.3), (3, 0.3), (4, float("nan")), (5, None)]
     df = spark.createDataFrame(rows, "candidate int, loss double")
     assert metrics.best_candidate(df).first()["candidate"] == 2
+
+
+def test_rows_without_probability_have_no_loss(spark):
+    df = spark.createDataFrame([(0.5,), (None,), (0.0,)], "p double")
+    losses = [r[0] for r in df.select(metrics.cross_entropy(F.col("p"))).collect()]
+    assert losses[1] is None and abs(losses[0] - 0.6931471805599453) < 1e-12 and losses[2] > 34

@@ -139,3 +139,11 @@ def test_hot_key_is_numbered_in_the_same_order(spark, table, monkeypatch):
     assert sorted(r["row_number"] for r in hot.collect()) == list(range(1, ROWS + 1))
     assert pairs(hot.groupBy("g").agg(F.min("row_number").alias("n"), F.max("g").alias("id")), "n") == expected
     assert hot.columns == ["id", "g", "row_number"]
+
+
+def test_null_empty_and_composite_keys_are_told_apart(spark):
+    rows = [(None, "c"), ("", "c"), ("a|b", "c"), ("a", "b|c"), ("c", None), ("c", ""), (None, None), ("", ""), ("-", "c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(digest(["x", "y"]).alias("d")).distinct().count() == len(rows)
+    single = {r["x"]: r["d"] for r in df.select("x", digest("x").alias("d")).distinct().collect()}
+    assert len(set(single.values())) == len(single) and not any(d is None for d in single.values())
