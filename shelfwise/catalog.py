@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,7 @@ from shelfwise.operators.vocabulary import (
     token_counts,
     word_vocabulary,
 )
+from shelfwise.operators.wide import fit_wide_projection
 from shelfwise.plans.baseline import HINGE, MARGIN, linear_baseline
 from shelfwise.plans.epochs import train_by_epochs
 from shelfwise.plans.etl import run_etl
@@ -49,7 +51,7 @@ from shelfwise.plans.predict import answer, predict, request_text
 from shelfwise.plans.preprocess import preprocess
 from shelfwise.plans.train import train_and_evaluate
 from shelfwise.schema import KEY, LABEL, PRODUCT, REQUEST, TEXT
-from shelfwise.scratch import scratch_path
+from shelfwise.scratch import scratch_path, written
 from shelfwise.sources.json_lines import MALFORMED, json_fields, read_json_lines, write_json_lines
 from shelfwise.sources.tables import read_table, write_table
 from shelfwise.streaming.scoring import request_stream, start_answering, start_scoring, start_writing
@@ -841,14 +843,42 @@ def hinge_baseline(spark: SparkSession, folder: str) -> DataFrame:
     return _linear(spark, folder, **{**HINGE, "components": 32})
 
 
-def _on_ids(spark: SparkSession, folder: str, **options) -> DataFrame:
-    """A baseline on the stored ids of all documents: test rows of each label, and what must hold of its predictions."""
+def _stored_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of all documents, written and read back."""
     import public_tokenizers
 
     path = scratch_path(spark, "encoded")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     write_table(encode_pretrained(texts(spark, folder), tokenizer, start=49406, end=49407, pad=0), path)
-    stored = read_table(spark, path)
+    return read_table(spark, path)
+
+
+@query(
+    """SELECT CAST(k AS BIGINT) AS components, count(*) AS rows, TRUE AS orthonormal, TRUE AS close
+FROM documents, (VALUES (2), (100)) AS asked(k) GROUP BY k"""
+)
+def ids_projected(spark: SparkSession, folder: str) -> DataFrame:
+    """Two and a hundred components of the 512 ids by the range finder.
+
+    ``close``: what the axes leave out is at most a hundredth more than the best axes leave out, by
+    the matrix of column products.
+    """
+    rows = _stored_ids(spark, folder).select(id_features(F.col("input_ids")).alias("features"))
+    scaled = written(fit_scale(rows).transform(rows).select("scaled"), "scaled")
+    squares = fit_projection(scaled, 512).values ** 2
+    found = []
+    for k in (2, 100):
+        projection = fit_wide_projection(scaled, k, tolerance=1e-3).projection
+        left, least = squares.sum() - (projection.values**2).sum(), squares[k:].sum()
+        level = abs(projection.axes.T @ projection.axes - np.eye(k)).max() < 1e-9
+        flags = F.lit(k).cast("bigint").alias("components"), F.lit(bool(level)).alias("orthonormal")
+        found.append(F.struct(*flags, F.lit(bool(left <= 1.01 * least)).alias("close")))
+    return row_count(scaled).select("rows", F.inline(F.array(*found)))
+
+
+def _on_ids(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """A baseline on the stored ids of all documents: test rows of each label, and what must hold of its predictions."""
+    stored = _stored_ids(spark, folder)
     tested = linear_baseline(stored, labels=LANGUAGES, key="doc_id", **options).predictions
     flags = tested.groupBy("actual").agg(
         F.count(F.lit(1)).alias("support"),
