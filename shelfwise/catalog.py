@@ -26,6 +26,7 @@ from shelfwise.operators.pretrained import encode_pretrained
 from shelfwise.operators.profile import (
     box_statistics,
     collected,
+    collected_in_order,
     distinct_count,
     examples,
     group_count,
@@ -35,6 +36,7 @@ from shelfwise.operators.profile import (
 )
 from shelfwise.operators.project import keep_columns, text_and_label, with_label, with_text, without
 from shelfwise.operators.sampling import sample_exact, sample_share, shuffled, with_exact_split, with_split
+from shelfwise.operators.sketches import merged_sketches, quartiles, rank_error, value_sketches
 from shelfwise.operators.validate import REASON, with_domain_check, with_reason
 from shelfwise.operators.vocabulary import (
     piece_vocabulary,
@@ -649,6 +651,43 @@ def word_count_boxes(spark: SparkSession, folder: str) -> DataFrame:
     return box_statistics(texts(spark, folder), word_count(F.col(TEXT)))
 
 
+@query(
+    """SELECT 'all' AS main_cat, CAST(place // 100 AS BIGINT) AS piece, CAST(ceil(total / 100) AS BIGINT) AS pieces,
+       array_to_string(list_sort(list(source)), ',') AS items
+FROM (SELECT source, row_number() OVER (ORDER BY source) - 1 AS place, count(*) OVER () AS total
+      FROM documents WHERE source IS NOT NULL)
+GROUP BY ALL"""
+)
+def one_group_collected(spark: SparkSession, folder: str) -> DataFrame:
+    """The sources of all documents as one list, in pieces."""
+    rows = table(spark, folder, "documents").select(F.lit("all").alias(LABEL), "source")
+    pieces = collected_in_order(rows, "source", rows_per_piece=100)
+    return pieces.withColumn("items", F.array_join("items", ","))
+
+
+@query(
+    """SELECT lang AS main_cat, count(text) AS n, TRUE AS q1_close, TRUE AS median_close, TRUE AS q3_close
+FROM documents GROUP BY lang HAVING count(text) > 0"""
+)
+def word_boxes_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Quartiles of word counts by language from stored sketches of each source.
+
+    A quartile is close if its rank in the whole table is off by at most twice the stated rank error.
+    """
+    sized = documents(spark, folder).select(F.col("lang").alias(LABEL), "source", word_count(F.col("text")).alias("words"))
+    path = scratch_path(spark, "sketches")
+    write_table(value_sketches(sized, F.col("words"), LABEL, "source"), path)
+    boxes = quartiles(merged_sketches(read_table(spark, path), LABEL)).withColumnRenamed(LABEL, "label")
+    counts = sized.groupBy(LABEL, "words").agg(F.count(F.lit(1)).alias("rows"))
+    near = []
+    for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        below, upto = (F.sum(F.when(c, F.col("rows")).otherwise(0)) for c in (F.col("words") < F.col(name), F.col("words") <= F.col(name)))
+        error = F.lit(2 * rank_error()) * F.col("n")
+        near.append(((below <= share * F.col("n") + error) & (upto >= share * F.col("n") - error)).alias(f"{name}_close"))
+    joined = counts.join(boxes, F.col(LABEL).eqNullSafe(F.col("label")))
+    return joined.groupBy(LABEL, "n", "q1", "median", "q3").agg(*near).drop("q1", "median", "q3")
+
+
 _SPLIT_SQL = f"""CASE WHEN {_digest_sql('doc_id')} < 'a3d70a3d' THEN 'train'
        WHEN {_digest_sql('doc_id')} < 'cccccccd' THEN 'val' ELSE 'test' END"""
 

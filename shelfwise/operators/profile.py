@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.keys import digest, leading_number
 from shelfwise.functions.text import token_count
+from shelfwise.operators.numbering import sorted_numbers, with_row_ids
 from shelfwise.schema import LABEL, TEXT
 from shelfwise.scratch import sized_for_join
 
@@ -78,6 +79,28 @@ def collected(df: DataFrame, value: str, key: str, by: str = LABEL, rows_per_pie
     )
 
 
+def collected_in_order(df: DataFrame, value: str, by: str = LABEL, rows_per_piece: int = 100_000) -> DataFrame:
+    """All non-null values per group, as consecutive pieces of one sorted list.
+
+    Rows are numbered in the order of group and value, rows that agree in both by a row id, so even one
+    value in all rows is spread over tasks. Every piece but a group's last has ``rows_per_piece`` values;
+    pieces in the order of their numbers (from 0) are the list. Columns: group, ``piece``, ``pieces``,
+    ``items``; a group without values has no piece.
+    """
+    present = with_row_ids(df.filter(F.col(value).isNotNull()).select(by, value), "__row")
+    numbered = sorted_numbers(present, F.asc(by), F.asc(value), F.asc("__row"), name="__number")
+    groups = numbered.groupBy(F.col(by).alias("__by")).agg(
+        F.min("__number").alias("__first"), F.ceil(F.count(F.lit(1)) / rows_per_piece).alias("pieces")
+    )
+    groups = sized_for_join(groups, "group-starts")
+    return (
+        numbered.join(groups, F.col(by).eqNullSafe(F.col("__by")))
+        .withColumn("piece", F.floor((F.col("__number") - F.col("__first")) / rows_per_piece))
+        .groupBy(by, "piece", "pieces")
+        .agg(F.sort_array(F.collect_list(value)).alias("items"))
+    )
+
+
 def box_statistics(df: DataFrame, value: Column, by: str = LABEL) -> DataFrame:
     """Box-plot figures of an integer measure per group.
 
