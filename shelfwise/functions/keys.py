@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIGITS = 8
@@ -30,6 +30,16 @@ def digest(keys: str | Sequence[str], seed: int = 42, epoch: int = 0) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(epoch)), *parts))
 
 
+def content(df: DataFrame) -> Column:
+    """A 64-bit hash of all columns of a row that can be hashed, which orders rows with equal keys.
+
+    Rows with equal content can stand for each other. Maps and variants cannot be hashed and are left out.
+    """
+    columns = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    # the hash skips nulls, so (null, 1) would equal (1, null)
+    return F.xxhash64(*columns, F.array(*[c.isNull() for c in columns]))
+
+
 def cut_point(share: float) -> str:
     """The hex text below which a ``share`` of all digests falls."""
     if not 0.0 <= share <= 1.0:

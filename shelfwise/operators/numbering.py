@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfwise.functions.keys import digest
+from shelfwise.functions.keys import content, digest
 from shelfwise.scratch import written
 
 # 65,536 digest ranges. Digests of distinct keys are uniform: at 10**11 rows a range holds 1.5 million.
@@ -33,8 +33,10 @@ def shuffled_numbers(
     a table of at most 65,536 rows whatever the data, which bounds its broadcast and the window that
     sums it. Then rows are shuffled once, evenly over the ranges.
 
-    The key should be unique. If the sizes show a key with very many rows, equal keys are told apart by
-    a row id and the rows are sorted by range instead, so that no task gets all of them.
+    Rows with equal keys are numbered in the order of their content, so that numbers never depend on the
+    partitioning. If the sizes show a key with very many rows, those that agree in content too are told
+    apart by a row id and the rows are sorted by range instead, so that no task gets all of them; rows
+    get the same numbers either way.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
     hashed = digest(names, seed, epoch)
@@ -42,19 +44,18 @@ def shuffled_numbers(
     sizes = written(df.groupBy(ranged.alias("__range")).agg(F.count(F.lit(1)).alias("__n")), "range-sizes")
     found = sizes.agg(F.max("__n").alias("largest"), F.sum("__n").alias("rows")).first()
     if (found["largest"] or 0) > max(_HOT_ROWS, _HOT_FACTOR * (found["rows"] or 0) / 16**_RANGE_DIGITS):
-        told_apart = with_row_ids(df.withColumn("__digest", hashed), "__row")
-        order = [F.asc(c) for c in ("__digest", *names, "__row")]
-        return sorted_numbers(told_apart, *order, name=name).drop("__digest", "__row")
+        told_apart = with_row_ids(df.withColumns({"__digest": hashed, "__content": content(df)}), "__row")
+        order = [F.asc(c) for c in ("__digest", *names, "__content", "__row")]
+        return sorted_numbers(told_apart, *order, name=name).drop("__digest", "__content", "__row")
     before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    inside = W.partitionBy("__range").orderBy("__digest", *names)
+    inside = W.partitionBy("__range").orderBy("__digest", *names, "__content")
     return (
-        df.withColumn("__digest", hashed)
-        .withColumn("__range", ranged)
+        df.withColumns({"__digest": hashed, "__range": ranged, "__content": content(df)})
         .withColumn("__inside", F.row_number().over(inside))
         .join(F.broadcast(starts), "__range")
         .withColumn(name, F.col("__start") + F.col("__inside"))
-        .drop("__digest", "__range", "__inside", "__start")
+        .drop("__digest", "__content", "__range", "__inside", "__start")
     )
 
 

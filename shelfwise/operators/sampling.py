@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfwise.functions.keys import cut_point, digest
+from shelfwise.functions.keys import content, cut_point, digest
 from shelfwise.operators.numbering import shuffled_numbers
 from shelfwise.scratch import written
 
@@ -21,9 +21,12 @@ SHARES = (("train", 0.64), ("val", 0.16), ("test", 0.20))
 
 
 def shuffled(df: DataFrame, keys: str | Sequence[str], seed: int = 42, epoch: int = 0) -> DataFrame:
-    """Rows in a pseudo-random order that differs by epoch and never by partitioning."""
+    """Rows in a pseudo-random order that differs by epoch and never by partitioning.
+
+    Rows with equal keys are ordered by their content.
+    """
     names = [keys] if isinstance(keys, str) else list(keys)
-    return df.orderBy(digest(names, seed, epoch), *names)
+    return df.orderBy(digest(names, seed, epoch), *names, content(df))
 
 
 def sample_share(

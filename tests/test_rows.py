@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.keys import digest
+from shelfwise.operators import numbering
 from shelfwise.operators.numbering import batches, shuffled_numbers, sorted_numbers, with_row_ids
 from shelfwise.operators.sampling import (
     KeyNotUnique,
@@ -47,6 +48,30 @@ def test_shuffle_depends_on_epoch_not_on_partitions(table):
     assert orders[0] == orders[1] != [r["id"] for r in shuffled(table, "id", epoch=2).collect()]
 
 
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """Null, equal and composite keys, rows that agree in all columns, and nulls in either column."""
+    rows = [(None if i % 5 == 0 else "k" if i % 5 < 3 else str(i % 40), None if i % 7 == 0 else i % 3, i % 90 or None) for i in range(1_000)]
+    return spark.createDataFrame(rows, "k string, part int, v int")
+
+
+@pytest.mark.parametrize("keys", ["k", ["k", "part"]])
+@pytest.mark.parametrize("hot", [False, True])
+def test_equal_keys_are_numbered_alike_on_any_partitioning(repeated, keys, hot, monkeypatch):
+    def numbers(df):
+        return sorted(map(repr, (tuple(r) for r in shuffled_numbers(df, keys, seed=3).collect())))
+
+    plain = numbers(repeated.coalesce(1))
+    if hot:
+        monkeypatch.setattr(numbering, "_HOT_ROWS", 10)
+    for df in (repeated.repartition(5), repeated.repartition(3, "v")):
+        assert numbers(df) == plain
+        sizes = [(r["batch"], r["rows"]) for r in batches(df, keys, 300).groupBy("batch").agg(F.count("*").alias("rows")).orderBy("batch").collect()]
+        assert sizes == [(0, 300), (1, 300), (2, 300), (3, 100)]
+    one, two = ([tuple(r) for r in shuffled(repeated.repartition(n), keys).collect()] for n in (2, 7))
+    assert one == two
+
+
 def test_sorted_numbers_with_a_hot_value(table):
     got = pairs(sorted_numbers(table, F.asc("g"), F.desc("id")), "row_number")
     expected = sorted(range(ROWS), key=lambda i: (0 if i < ROWS // 3 else i, -i))
