@@ -7,7 +7,7 @@ joined instead. Splitting, cutting, padding and masks are Spark expressions on b
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +21,14 @@ from shelfwise.functions.text import fold, folded, rough_words, tokens
 from shelfwise.operators.numbering import with_row_ids
 from shelfwise.operators.vocabulary import CONTINUES, END, LONGEST_WORD, PAD, START, UNKNOWN
 from shelfwise.schema import TEXT
+from shelfwise.scratch import written
 
 # Every Python worker holds the vocabulary: some 50 MB at these bounds.
 MOST_SENT_ROWS = 300_000
 MOST_SENT_CHARS = 6_000_000
 _MEMO_WORDS = 200_000
-# A word that fills a third of all rows is met by this many tasks instead of one.
-_SALTS = 16
+# Words that the join route sends to the rows instead of shuffling them, and values its sketch keeps.
+_FREQUENT, _TRACKED = 1_000, 10_000
 
 
 def fits_sending(vocabulary: DataFrame) -> bool:
@@ -158,11 +159,27 @@ def _by_lookup(
     return df.withColumn("__pieces", make(sent, special[UNKNOWN])(words)), special
 
 
-def _salted_join(rows: DataFrame, small: DataFrame, on: str, spread_by: Sequence[str], how: str) -> DataFrame:
-    """Join on a column with very frequent values: rows are spread, the other side is repeated."""
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(_SALTS)).cast("int")
-    repeated = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return rows.withColumn("__salt", salt).join(repeated, [on, "__salt"], how).drop("__salt")
+def frequent_values(rows: DataFrame, on: str) -> DataFrame:
+    """Hashes of the most frequent values of a column, at most ``_FREQUENT``, from a sketch made on the map side.
+
+    Every value that fills more than one in ``_FREQUENT`` rows is among them. One column, ``hash``.
+    """
+    hashed = rows.select(F.xxhash64(on).alias("hash"))
+    top = hashed.agg(F.expr(f"approx_top_k(hash, {_FREQUENT}, {_TRACKED})").alias("top"))
+    return top.select(F.explode("top").alias("top")).select(F.col("top")["item"].alias("hash"))
+
+
+def _skewed_join(rows: DataFrame, small: DataFrame, on: str, how: str) -> DataFrame:
+    """Join (inner or left) on a column with very frequent values, each once in ``small``.
+
+    What ``small`` has of the frequent values, a bounded number, is sent to the rows; only rows with other
+    values are shuffled. ``rows`` is read three times, so give a written table.
+    """
+    frequent = F.broadcast(written(frequent_values(rows, on), "frequent"))
+    among = F.xxhash64(on) == F.col("hash")
+    sent = F.broadcast(small.join(frequent, among, "left_semi"))
+    rest = rows.join(frequent, among, "left_anti")
+    return rows.join(frequent, among, "left_semi").join(sent, on, how).unionByName(rest.join(small, on, how))
 
 
 def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFrame:
@@ -187,7 +204,7 @@ def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFram
     )
     known = vocabulary.select("token", F.col("id").cast("int"))
     parts = (
-        _salted_join(spots, known, "token", ["word"], "inner")
+        _skewed_join(written(spots.drop("__folded"), "parts"), known, "token", "inner")
         .groupBy("word", "at")
         .agg(F.max(F.struct("length", "id")).alias("best"))
         .groupBy("word")
@@ -223,13 +240,14 @@ def _by_join(rows: DataFrame, vocabulary: DataFrame, level: str, special: dict[s
     """Rows with a fixed ``__row`` id and their ``__words``, joined to the ids of their words."""
     placed = rows.select("__row", F.posexplode("__words").alias("at", "word"))
     # One row per text and distinct word: repeated words join once.
-    grouped = placed.groupBy("__row", "word").agg(F.collect_list("at").alias("ats"))
+    grouped = written(placed.groupBy("__row", "word").agg(F.collect_list("at").alias("ats")), "placed")
     if level == "word":
         ids = vocabulary.select(F.col("token").alias("word"), F.array(F.col("id").cast("int")).alias("pieces"))
     else:
-        ids = cut_words(placed.select("word").distinct(), vocabulary, special[UNKNOWN])
+        words = written(grouped.select("word").distinct(), "words")
+        ids = written(cut_words(words, vocabulary, special[UNKNOWN]), "cut")
     unknown = F.array(F.lit(special[UNKNOWN]).cast("int"))
-    joined = _salted_join(grouped, ids, "word", ["__row"], "left").withColumn("pieces", F.coalesce("pieces", unknown))
+    joined = _skewed_join(grouped, ids, "word", "left").withColumn("pieces", F.coalesce("pieces", unknown))
     spread = F.transform("ats", lambda at: F.struct(at.alias("at"), F.col("pieces").alias("pieces")))
     found = (
         joined.groupBy("__row")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import fold
-from shelfwise.operators.encode import cut_word, encode, fits_sending, unknown_share
+from shelfwise.operators.encode import cut_word, encode, fits_sending, frequent_values, unknown_share
 from shelfwise.operators.pretrained import encode_pretrained
 from shelfwise.operators.vocabulary import (
     SPECIAL,
@@ -202,3 +202,19 @@ def test_preprocess_with_vocabulary(spark, df):
     got = preprocess(raw, vocabulary=piece_vocabulary(df, max_size=60), max_length=16)
     assert set(got.columns) == {"asin", "main_cat", "input_ids", "attention_mask"}
     assert got.schema["input_ids"].dataType.simpleString() == "array<int>" and len(got.first()["input_ids"]) == 16
+
+
+def test_frequent_words_are_found_and_sent(spark, plan_of):
+    """One word in every row, and as many words as rows beside it."""
+    rows = [(i, f"the w{i} the x{i % 9}") for i in range(3_000)]
+    df = spark.createDataFrame(rows, "i int, combined_text string").repartition(4)
+    words = df.select(F.explode(F.split("combined_text", " ")).alias("word"))
+    hashed = words.distinct().withColumn("hash", F.xxhash64("word")).join(frequent_values(words, "word"), "hash", "left_semi")
+    found = {r["word"] for r in hashed.collect()}
+    assert {"the", *(f"x{i}" for i in range(9))} <= found and len(found) <= 1_000
+    # w7 is left out of the vocabulary
+    known = [*SPECIAL, "the", *(f"x{i}" for i in range(9)), *(f"w{i}" for i in range(3_000) if i != 7)]
+    vocabulary = spark.createDataFrame([(t, i) for i, t in enumerate(known)], "token string, id int")
+    lookup, join = (encode(df, vocabulary, 8, "word", route=r) for r in ("lookup", "join"))
+    assert sorted(map(tuple, join.collect())) == sorted(map(tuple, lookup.collect()))
+    assert "BroadcastHashJoin" in plan_of(join)
