@@ -7,7 +7,9 @@ joined instead. Splitting, cutting, padding and masks are Spark expressions on b
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from hashlib import blake2b
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +17,10 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions.arrays import ratio
 from shelfwise.functions.text import fold, folded, rough_words, tokens
-from shelfwise.operators.numbering import with_row_ids
 from shelfwise.operators.vocabulary import CONTINUES, END, LONGEST_WORD, PAD, START, UNKNOWN
 from shelfwise.schema import TEXT
 from shelfwise.scratch import written
@@ -29,6 +31,12 @@ MOST_SENT_CHARS = 6_000_000
 _MEMO_WORDS = 200_000
 # Words that the join route sends to the rows instead of shuffling them, and values its sketch keeps.
 _FREQUENT, _TRACKED = 1_000, 10_000
+# The join route's sieve of a vocabulary: 32 MB at most.
+_MOST_SIEVE_BITS = 1 << 28
+# Stands for the id of a part that the sieve let through and the vocabulary does not hold.
+_ABSENT = -(1 << 31)
+# Rows of a block whose ids are put together at a time.
+_ROWS_AT_ONCE = 1_000
 
 
 def fits_sending(vocabulary: DataFrame) -> bool:
@@ -182,13 +190,13 @@ def _skewed_join(rows: DataFrame, small: DataFrame, on: str, how: str) -> DataFr
     return rows.join(frequent, among, "left_semi").join(sent, on, how).unionByName(rest.join(small, on, how))
 
 
-def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFrame:
-    """``(word, pieces)`` for a table of distinct words, by joining their parts to the vocabulary.
+def _cut_by_all_parts(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFrame:
+    """``(word, pieces)`` for a table of distinct folded words, by joining all their parts to the vocabulary.
 
     A word has at most 100 characters here, hence a bounded number of parts. The longest known part
     per start is kept, then the starts are walked from left to right.
     """
-    base = words.withColumn("__folded", folded(F.col("word")))
+    base = words.withColumn("__folded", F.col("word"))
     usable = base.filter(F.length("__folded").between(1, LONGEST_WORD))
     size = F.length("__folded")
     spots = (
@@ -236,27 +244,160 @@ def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFram
     )
 
 
-def _by_join(rows: DataFrame, vocabulary: DataFrame, level: str, special: dict[str, int]) -> DataFrame:
-    """Rows with a fixed ``__row`` id and their ``__words``, joined to the ids of their words."""
-    placed = rows.select("__row", F.posexplode("__words").alias("at", "word"))
-    # One row per text and distinct word: repeated words join once.
-    grouped = written(placed.groupBy("__row", "word").agg(F.collect_list("at").alias("ats")), "placed")
+def _spots(raw: bytes, bits: int) -> Iterator[int]:
+    """The two bits of a token in a sieve, the cheaper one first."""
+    yield crc32(raw) % bits
+    yield int.from_bytes(blake2b(raw, digest_size=8).digest(), "little") % bits
+
+
+def _sieve(vocabulary: DataFrame) -> tuple[bytes, int]:
+    """A bit map that holds every token of a vocabulary and few others, and the length of the longest token.
+
+    It has 64 bits a token, at most ``_MOST_SIEVE_BITS`` whatever the vocabulary. Tasks set the bits.
+    """
+    size = vocabulary.agg(F.count(F.lit(1)).alias("n"), F.max(F.length("token")).alias("longest")).first()
+    bits = min(_MOST_SIEVE_BITS, max(64, 1 << (64 * size["n"]).bit_length()))
+
+    @F.arrow_udf("array<bigint>")
+    def spots(tokens: pa.Array) -> pa.Array:
+        return pa.array([list(_spots(t.encode(), bits)) for t in tokens.to_pylist()], pa.list_(pa.int64()))
+
+    at = vocabulary.select(F.explode(spots("token")).alias("at"))
+    set_bits = at.groupBy(F.shiftright("at", 6).alias("slot")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("set")
+    )
+    found = set_bits.toArrow()
+    held = np.zeros(bits // 64, "<i8")
+    held[found.column("slot").to_numpy()] = found.column("set").to_numpy()
+    return held.tobytes(), size["longest"] or 0
+
+
+def _chain(sent: Broadcast) -> Callable:
+    """The longest parts, from left to right, that a sieve lets through, and whether they make up the whole word."""
+
+    @F.arrow_udf("struct<whole: boolean, tokens: array<string>>")
+    def chain(words: pa.Array) -> pa.Array:
+        held, longest = sent.value
+        bits = 8 * len(held)
+
+        def known(token: str) -> bool:
+            raw = token.encode()
+            return all(held[at >> 3] >> (at & 7) & 1 for at in _spots(raw, bits))
+
+        whole, cut = [], []
+        for word in words.to_pylist():
+            found, at, stuck = [], 0, len(word) > LONGEST_WORD
+            while at < len(word) and not stuck:
+                mark = CONTINUES if at else ""
+                for end in range(min(len(word), at + longest), at, -1):
+                    if known(mark + word[at:end]):
+                        found.append(mark + word[at:end])
+                        at = end
+                        break
+                else:
+                    stuck = True
+            whole.append(not stuck)
+            cut.append(found)
+        return pa.StructArray.from_arrays([pa.array(whole, pa.bool_()), pa.array(cut, pa.list_(pa.string()))], ["whole", "tokens"])
+
+    return chain
+
+
+def cut_words(words: DataFrame, vocabulary: DataFrame, unknown: int) -> DataFrame:
+    """``(word, pieces)`` for a table of distinct words, by joining the parts they are cut into to the vocabulary.
+
+    A sieve of the vocabulary, bounded in size, names the longest part at each place; a join with the whole
+    vocabulary tells its id, or that the sieve was wrong. Only words with such a part, few unless the
+    vocabulary is far larger than the sieve, look up all their parts.
+    """
+    spelled = written(words.select("word", folded(F.col("word")).alias("folded")), "folded")
+    sent = words.sparkSession.sparkContext.broadcast(_sieve(vocabulary))
+    # A few bytes a word, but much work: spread the words by number.
+    distinct = spelled.select("folded").distinct().repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chains = distinct.withColumn("chain", _chain(sent)("folded")).select("folded", "chain.whole", F.col("chain.tokens").alias("__words"))
+    known = vocabulary.select(F.col("token").alias("word"), F.array(F.col("id").cast("int")).alias("pieces"))
+    found = written(_placed(*_blocks(chains), known, _ABSENT, LONGEST_WORD), "chains")
+    wrong = F.array_contains("__pieces", _ABSENT)
+    cut = found.filter(~wrong).select(
+        F.col("folded").alias("word"),
+        F.when(F.col("whole"), F.col("__pieces")).otherwise(F.array(F.lit(unknown).cast("int"))).alias("pieces"),
+    )
+    suspects = found.filter(wrong).select(F.col("folded").alias("word"))
+    if not suspects.isEmpty():
+        cut = cut.unionByName(_cut_by_all_parts(suspects, vocabulary, unknown))
+    return spelled.join(cut.withColumnRenamed("word", "folded"), "folded").select("word", "pieces")
+
+
+def _coded() -> Callable:
+    """Words of a batch, a block named by its first row, as numbers; the distinct ones stand with the first row."""
+
+    @F.arrow_udf("struct<block: bigint, codes: array<int>, words: array<string>>")
+    def code(rows: pa.Array, words: pa.Array) -> pa.Array:
+        n, coded = len(words), words.flatten().dictionary_encode()
+        block = pa.array(np.full(n, rows[0].as_py() if n else 0, np.int64))
+        codes = pa.ListArray.from_arrays(_offsets(words), coded.indices.cast(pa.int32()))
+        ends = np.full(n + 1, len(coded.dictionary) if n else 0, np.int32)
+        ends[0] = 0
+        listed = pa.ListArray.from_arrays(pa.array(ends), coded.dictionary, mask=pa.array(np.arange(n) > 0))
+        return pa.StructArray.from_arrays([block, codes, listed], ["block", "codes", "words"])
+
+    return code
+
+
+def _blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows in blocks, a batch each, their ``__words`` as numbers, and ``(block, code, word)``: the distinct words of each block."""
+    numbered = rows.withColumn("__row", F.monotonically_increasing_id())
+    coded = written(numbered.withColumn("__c", _coded()("__row", "__words")).drop("__row", "__words"), "coded")
+    listed = coded.filter(F.col("__c.words").isNotNull()).select(
+        F.col("__c.block").alias("block"), F.posexplode("__c.words").alias("code", "word")
+    )
+    return coded, written(listed, "block-words")
+
+
+def _placed(coded: DataFrame, listed: DataFrame, ids: DataFrame, missing: int, most: int) -> DataFrame:
+    """Rows of ``_blocks`` with the ``__pieces`` of their words, at most ``most``, by joining to ``(word, pieces)``.
+
+    Every distinct word of a block is joined once. Rows hold numbers for words, and are shuffled once, by
+    block, to meet the pieces of the block's words.
+    """
+    kept = [c for c in coded.columns if c != "__c"]
+    joined = _skewed_join(listed, ids, "word", "left").select(
+        "block", "code", F.coalesce("pieces", F.array(F.lit(missing).cast("int"))).alias("pieces")
+    )
+
+    def place(left: pa.Table, right: pa.Table) -> pa.Table:
+        pieces = right.column("pieces").combine_chunks()
+        codes_of, flat = right.column("code").to_numpy(), pieces.flatten().to_numpy(zero_copy_only=False)
+        lengths = pieces.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes, starts = (np.zeros(len(codes_of), np.int64) for _ in range(2))
+        sizes[codes_of], starts[codes_of] = lengths, np.cumsum(lengths) - lengths
+        made = []
+        for low in range(0, left.num_rows, _ROWS_AT_ONCE):
+            lists = left.column("codes").slice(low, _ROWS_AT_ONCE).combine_chunks()
+            codes, ends = lists.flatten().to_numpy(zero_copy_only=False), np.asarray(_offsets(lists))
+            of_code = np.concatenate([[0], np.cumsum(sizes[codes])])
+            within = np.arange(of_code[-1]) - np.repeat(of_code[:-1], sizes[codes])
+            taken = flat[np.repeat(starts[codes], sizes[codes]) + within]
+            bounds = of_code[ends]
+            held = np.arange(of_code[-1]) - np.repeat(bounds[:-1], np.diff(bounds)) < most
+            cut = np.concatenate([[0], np.cumsum(np.minimum(np.diff(bounds), most))]).astype(np.int32)
+            made.append(pa.ListArray.from_arrays(pa.array(cut), pa.array(taken[held], pa.int32())))
+        return pa.table({**{c: left.column(c) for c in kept}, "__pieces": pa.chunked_array(made, pa.list_(pa.int32()))})
+
+    schema = T.StructType([*(coded.schema[c] for c in kept), T.StructField("__pieces", T.ArrayType(T.IntegerType()))])
+    split = coded.select(*(F.col(f"`{c}`") for c in kept), F.col("__c.block").alias("block"), F.col("__c.codes").alias("codes"))
+    return split.groupBy("block").cogroup(joined.groupBy("block")).applyInArrow(place, schema)
+
+
+def _by_join(rows: DataFrame, vocabulary: DataFrame, level: str, special: dict[str, int], most: int) -> DataFrame:
+    """Rows with their ``__words``, joined to the ids of their words."""
+    coded, listed = _blocks(rows)
     if level == "word":
         ids = vocabulary.select(F.col("token").alias("word"), F.array(F.col("id").cast("int")).alias("pieces"))
     else:
-        words = written(grouped.select("word").distinct(), "words")
+        words = written(listed.select("word").distinct(), "words")
         ids = written(cut_words(words, vocabulary, special[UNKNOWN]), "cut")
-    unknown = F.array(F.lit(special[UNKNOWN]).cast("int"))
-    joined = _skewed_join(grouped, ids, "word", "left").withColumn("pieces", F.coalesce("pieces", unknown))
-    spread = F.transform("ats", lambda at: F.struct(at.alias("at"), F.col("pieces").alias("pieces")))
-    found = (
-        joined.groupBy("__row")
-        .agg(F.flatten(F.collect_list(spread)).alias("__spread"))
-        .withColumn("__pieces", F.flatten(F.transform(F.array_sort("__spread"), lambda p: p["pieces"])))
-        .drop("__spread")
-    )
-    # Texts without words have no row here and keep a null.
-    return rows.join(found, "__row", "left").drop("__row", "__words")
+    return _placed(coded, listed, ids, special[UNKNOWN], most)
 
 
 def encode(
@@ -271,8 +412,8 @@ def encode(
 
     ``level`` is ``word`` (whole words) or ``piece`` (words cut into known pieces). Every word gives
     at least one id, so words beyond the length limit cannot matter and are not looked up.
-    ``route`` overrides the choice between ``lookup`` and ``join``; the join first writes the rows once
-    to give each an id. A vocabulary with a token or an id twice is refused on both routes, one that
+    ``route`` overrides the choice between ``lookup`` and ``join``; the join first writes the rows once,
+    with numbers for words. A vocabulary with a token or an id twice is refused on both routes, one that
     is too large to send on the lookup route.
     """
     if level not in ("word", "piece"):
@@ -288,7 +429,6 @@ def encode(
     else:
         named = vocabulary.filter(F.col("token").isin(PAD, UNKNOWN, START, END)).select("token", "id")
         special = special_ids(named.collect())
-        rows = with_row_ids(df.withColumn("__words", words).drop(text), "__row")
-        found = _by_join(rows, vocabulary, level, special)
+        found = _by_join(df.withColumn("__words", words).drop(text), vocabulary, level, special, max_length - 2)
     ids, mask = framed(F.col("__pieces"), special, max_length)
     return found.withColumn("input_ids", ids).withColumn("attention_mask", mask).drop("__pieces", text)
