@@ -126,7 +126,8 @@ def rough_words(text: Column) -> Column:
     found = F.regexp_extract_all(
         clean, F.lit(rf"[a-zA-Z0-9[^{_ALONE}\t\n\r\p{{Z}}]]+|[{_ALONE}]"), F.lit(0)
     )
-    return F.filter(found, lambda w: ~w.rlike(r"^\p{Mn}+$"))
+    # Words are looked at one by one only in texts that have a mark at all.
+    return F.when(clean.rlike(r"\p{Mn}"), F.filter(found, lambda w: ~w.rlike(r"^\p{Mn}+$"))).otherwise(found)
 
 
 def fold(word: str) -> str:

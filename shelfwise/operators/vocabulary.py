@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import folded, rough_words, tokens
@@ -63,24 +63,24 @@ def folded_word_counts(df: DataFrame, text: str = TEXT) -> DataFrame:
 
 
 def piece_counts(df: DataFrame, text: str = TEXT, longest: int = 6) -> DataFrame:
-    """``(token, n)`` of candidate word pieces of the encoder's words.
+    """``(token, n)`` of candidate word pieces of the encoder's words; distinct words are written once.
 
     Whole words, every run of at most ``longest`` characters at the start of a word, and every such
     run further in, marked as continuing. Candidates come from distinct words and carry their count.
     Every character is a candidate in both forms, with a count of 0 in a form that does not occur, so
     that any word of known characters can be cut.
     """
-    words = folded_word_counts(df, text).filter(F.length("word").between(1, LONGEST_WORD))
-    # A word grows some fifty-fold here: spread the words by number, not by their present size.
-    words = words.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # A word grows some fifty-fold here: spread the words by number, not by their present size. They are written
+    # before any is left out, since a condition on folded words would move to where texts are split, and fold all.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = written(folded_word_counts(df, text).repartition(spread), "folded-words").filter(F.length("word").between(1, LONGEST_WORD))
     size, at, length = F.length("word"), F.col("at"), F.col("length")
     lengths = F.sequence(F.lit(1), F.least(F.lit(longest), size - at + 1))
-    whole = F.when((at == 1) & (size > longest), F.array(size)).otherwise(F.array().cast("array<int>"))
     other = F.array(F.lit(None).cast("int"))  # stands for the other form of the character
     mark = F.when((at > 1) == length.isNotNull(), F.lit(CONTINUES)).otherwise(F.lit(""))
-    return (
+    runs = (
         words.select("word", "n", F.explode(F.sequence(F.lit(1), size)).alias("at"))
-        .select("word", "n", "at", F.explode(F.concat(lengths, whole, other)).alias("length"))
+        .select("word", "n", "at", F.explode(F.concat(lengths, other)).alias("length"))
         .select(
             F.when(length.isNull(), 0).otherwise(F.col("n")).cast("bigint").alias("n"),
             F.concat(mark, F.substr(F.col("word"), at, F.coalesce(length, F.lit(1)))).alias("token"),
@@ -88,6 +88,23 @@ def piece_counts(df: DataFrame, text: str = TEXT, longest: int = 6) -> DataFrame
         .groupBy("token")
         .agg(F.sum("n").alias("n"))
     )
+    # A longer word is no run of any other (``#`` stands alone), so it is counted already.
+    return runs.unionByName(words.filter(size > longest).select(F.col("word").alias("token"), "n"))
+
+
+def _most_frequent(counts: DataFrame, size: int, always: Column) -> DataFrame:
+    """Rows of ``always`` and at least the ``size`` others of highest ``n``, all with ``n`` above those left out.
+
+    Counts are sorted into at most a few hundred steps, of which the driver sees how many rows each has.
+    """
+    step = F.floor(8 * F.log2(F.col("n") + 1))
+    sizes = {r["step"]: r["count"] for r in counts.filter(~always).groupBy(step.alias("step")).count().collect()}
+    least, held = 0, 0
+    for least in sorted(sizes, reverse=True):
+        held += sizes[least]
+        if held >= size:
+            break
+    return counts.filter(always | (step >= least))
 
 
 def piece_vocabulary(
@@ -100,6 +117,8 @@ def piece_vocabulary(
     """
     single = F.length(F.regexp_replace("token", f"^{CONTINUES}(?=.)", "")) == 1
     counts = written(piece_counts(df, text, longest).withColumn("single", single), "piece-counts")
+    if max_size is not None:
+        counts = _most_frequent(counts, max_size, F.col("single"))
     numbered = sorted_numbers(counts, F.desc("single"), F.desc("n"), F.asc("token"), name="__rank")
     if max_size is not None:
         numbered = numbered.filter(F.col("single") | (F.col("__rank") <= max_size - len(SPECIAL)))

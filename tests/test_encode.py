@@ -218,3 +218,43 @@ def test_frequent_words_are_found_and_sent(spark, plan_of):
     lookup, join = (encode(df, vocabulary, 8, "word", route=r) for r in ("lookup", "join"))
     assert sorted(map(tuple, join.collect())) == sorted(map(tuple, lookup.collect()))
     assert "BroadcastHashJoin" in plan_of(join)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 28])
+def test_words_are_cut_alike_by_any_sieve(spark, monkeypatch, bits):
+    """A full sieve names wrong parts; such words look up all their parts, no others do."""
+    from shelfwise.operators import encode as module
+
+    monkeypatch.setattr(module, "_MOST_SIEVE_BITS", bits)
+    asked, all_parts = [], module._cut_by_all_parts
+    monkeypatch.setattr(module, "_cut_by_all_parts", lambda words, *rest: asked.append(words.count()) or all_parts(words, *rest))
+    ids = {t: i for i, t in enumerate([*SPECIAL, "un", "##able", "##a", "##ble", "able", "a", "##bl", "\u00e9t"])}
+    words = ["unable", "Able", "unbl", "a", "b", "\u00e9ta", "", "a" * 101, "unablex"]
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    vocabulary = spark.createDataFrame(list(ids.items()), "token string, id bigint")
+    got = {r["word"]: r["pieces"] for r in module.cut_words(table, vocabulary, 1).collect()}
+    assert got == {w: cut_word(fold(w), ids, 1) for w in words}
+    assert bool(asked) == (bits == 64)
+
+
+def test_rows_shuffle_numbers_not_words(spark, df, plan_of):
+    """A word that fills a block stands in it once, whatever its length; the rest are numbers."""
+    from shelfwise.operators.encode import _blocks
+
+    rows = spark.createDataFrame([(i, ["same"] * 50 + [f"w{i % 3}"]) for i in range(90)], "i int, __words array<string>").repartition(3)
+    coded, listed = _blocks(rows)
+    assert coded.count() == 90 and listed.count() <= 4 * coded.select("__c.block").distinct().count() <= 12
+    assert "__words" not in coded.columns
+
+
+def test_pieces_are_counted_on_distinct_words(df, plan_of):
+    """Texts are split, and their words folded, before a written table; a plan with both folds every word of every text."""
+    assert "regexp" not in plan_of(piece_counts(df))
+
+
+def test_vocabulary_of_a_size_is_the_top_of_the_whole(df):
+    whole = {r["token"]: r["id"] for r in piece_vocabulary(df, max_size=None).collect()}
+    singles = sum(len(t.removeprefix("##")) == 1 for t in whole)
+    for size in (1, singles + 30, 10_000):
+        top = {r["token"]: r["id"] for r in piece_vocabulary(df, max_size=size).collect()}
+        assert top == {t: i for t, i in whole.items() if i < size or len(t.removeprefix("##")) == 1 or t in SPECIAL}
