@@ -41,21 +41,29 @@ class WideFit:
     settled: bool
 
 
-def _blocks(indices: pa.Array, values: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows without null ones, some at a time: a matrix over the columns that occur, and these columns."""
+def _blocks(indices: pa.Array, values: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray | slice]]:
+    """Rows without null ones, some at a time: a matrix over the columns that occur, and these columns.
+
+    Dense rows are taken as they lie, over all columns.
+    """
     sizes = values.value_lengths().fill_null(0).to_numpy()
     present = np.flatnonzero(values.is_valid().to_numpy(zero_copy_only=False))
     ends = np.cumsum(sizes)
     starts = ends - sizes
     listed = indices.is_valid().to_numpy(zero_copy_only=False)
     numbers = values.flatten().to_numpy(zero_copy_only=False)
-    of_row = np.repeat(np.arange(len(sizes)), sizes)
-    columns = np.arange(len(numbers)) - starts[of_row]
-    columns[listed[of_row]] = indices.flatten().to_numpy(zero_copy_only=False)
+    of_row = columns = None
     step = max(1, _CELLS // width)
     for low in range(0, len(present), step):
         some = present[low : low + step]
         mine = slice(starts[some[0]], ends[some[-1]])
+        if not listed[some].any() and (sizes[some] == width).all():
+            yield numbers[mine].reshape(-1, width), slice(None)
+            continue
+        if columns is None:
+            of_row = np.repeat(np.arange(len(sizes)), sizes)
+            columns = np.arange(len(numbers)) - starts[of_row]
+            columns[listed[of_row]] = indices.flatten().to_numpy(zero_copy_only=False)
         found, place = np.unique(columns[mine], return_inverse=True)
         matrix = np.zeros((len(some), len(found)))
         matrix[np.searchsorted(some, of_row[mine]), place] = numbers[mine]
@@ -66,7 +74,7 @@ def _vectors(df: DataFrame, features: str) -> DataFrame:
     return df.select(F.unwrap_udt(F.col(features)).alias("v")).select("v.indices", "v.values")
 
 
-def _blocks_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _blocks_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray | slice]]:
     for batch in batches:
         yield from _blocks(batch.column(0), batch.column(1), width)
 

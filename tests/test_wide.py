@@ -78,3 +78,21 @@ def test_refused(spark):
         fit_wide_projection(frame(spark, [Vectors.dense([1.0])]), 2)
     with pytest.raises(ValueError, match="at most"):
         fit_wide_projection(frame(spark, [Vectors.sparse(1 << 22, [0], [1.0])]), 2)
+
+
+def test_dense_rows_are_taken_as_they_lie(matrix):
+    """Over all columns, without looking for those that occur; other rows, nulls and mixtures as before."""
+    import pyarrow as pa
+
+    from shelfwise.operators.wide import _blocks
+
+    rows = matrix[:6, :40]
+    full, at = [r.tolist() for r in rows], [np.flatnonzero(r).tolist() for r in rows]
+    lists = lambda items, kind: pa.array(items, pa.list_(kind))
+    (block, columns), = _blocks(lists([None] * 6, pa.int32()), lists([full[0], None, *full[2:]], pa.float64()), 40)
+    assert columns == slice(None) and np.array_equal(block, np.delete(rows, 1, axis=0))
+    mixed = [None, *at[1:]], [full[0], *(r[i].tolist() for r, i in zip(rows[1:], at[1:]))]
+    (block, columns), = _blocks(lists(mixed[0], pa.int32()), lists(mixed[1], pa.float64()), 40)
+    made = np.zeros((6, 40))
+    made[:, columns] = block
+    assert np.array_equal(made, rows)
