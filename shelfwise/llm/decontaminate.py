@@ -35,6 +35,8 @@ from shelfwise.scratch import scratch_path, written
 
 WINDOW = 13
 MOST_WORDS = 200_000
+# Text taken at a time: some fifty bytes of arrays stand behind each of its bytes.
+SLICE_BYTES = 1 << 20
 
 FOUND = "doc_id BIGINT, n_words BIGINT, spans ARRAY<STRUCT<start: BIGINT, stop: BIGINT>>, items ARRAY<STRING>, row STRING"
 
@@ -189,7 +191,7 @@ def _streamed(docs: DataFrame, names: tuple[str, ...], texts: tuple[str, ...], w
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(names, texts, window)
         for whole in batches:
-            for batch in pieces(whole, "text"):
+            for batch in pieces(whole, "text", SLICE_BYTES):
                 n, spans, items = zip(*matcher.matches(batch.column(1)))
                 keys = [_row_key(*r) for r in zip(*(c.to_pylist() for c in batch.columns[:2]))] if keyed else [None] * len(n)
                 yield pa.RecordBatch.from_arrays(

@@ -32,7 +32,7 @@ BINS = 1 << 15
 SMOOTHING, ROUNDS, PENALTY = 2.0, 10, 2.0
 UNKNOWN = "und"
 # Text taken at a time: some hundred bytes of arrays stand behind each of its bytes.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # Folded letters; 0 for what stands between words.
 _LETTERS = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)

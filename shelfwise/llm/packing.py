@@ -34,6 +34,8 @@ from shelfwise.scratch import written
 LENGTH = 2048
 END = 1
 GROUP_ROWS = 4096
+# Text encoded at a time, and stretches and runs known to a worker at most: workers outlive their tasks.
+SLICE_BYTES, REMEMBERED = 1 << 19, 1 << 18
 # Marks that may follow a run of letters, in a pre-token of their own.
 MARKS = ".,;:!?"
 # Runs of letters encoded in one text; strings of marks that are remembered.
@@ -58,8 +60,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(file)
         size = self.tokenizer.get_vocab_size(True)
         self.closes = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.stretches = Remembered(self._stretches, 1)
-        self.runs = Remembered(self._runs, 1)
+        kind = np.uint16 if size <= 1 << 16 else np.int32
+        self.stretches = Remembered(self._stretches, 1, REMEMBERED, kind)
+        self.runs = Remembered(self._runs, 1, REMEMBERED, kind)
         self.marks: dict[str, list[int]] = {"": []}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -128,7 +131,7 @@ def cut_pieces(docs: DataFrame, length: int = LENGTH, end: int = END, tokenizer:
         encoder = _encoder(tokenizer_file(name))
         last = np.array([end], dtype="<u4").tobytes()
         for whole in batches:
-            for batch in pieces(whole, "text", 1 << 21):
+            for batch in pieces(whole, "text", SLICE_BYTES):
                 rows = []
                 for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                     ids = memoryview(ids.tobytes() + last)

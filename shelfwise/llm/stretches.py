@@ -55,16 +55,16 @@ class Remembered:
     """Numbers for stretches, told apart by their 64-bit hashes, and rows of integers for the numbers.
 
     ``encode`` gives for a batch of stretches one row for each: a tuple with a sequence of integers
-    for each of ``width`` tables.
+    for each of ``width`` tables, which ``kind`` can hold.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[tuple]], width: int, most: int = REMEMBERED):
-        self.encode, self.width, self.most = encode, width, most
+    def __init__(self, encode: Callable[[list[str]], list[tuple]], width: int, most: int = REMEMBERED, kind: type = np.int32):
+        self.encode, self.width, self.most, self.kind = encode, width, most, kind
         # known hashes in order, with their numbers
-        self.hashes, self.number_of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.flat = [np.zeros(0, np.int32) for _ in range(width)]
+        self.hashes, self.number_of = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.flat = [np.zeros(0, kind) for _ in range(width)]
         self.lengths = [np.zeros(0, np.int32) for _ in range(width)]
-        self.uses = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.uint32)
 
     def _learn(self, stretches: list[str]) -> None:
         flat, lengths = [[] for _ in range(self.width)], [[] for _ in range(self.width)]
@@ -74,19 +74,20 @@ class Remembered:
                     flat[t].extend(ids)
                     lengths[t].append(len(ids))
         for t in range(self.width):
-            self.flat[t] = np.append(self.flat[t], np.array(flat[t], np.int32))
+            self.flat[t] = np.append(self.flat[t], np.array(flat[t], self.kind))
             self.lengths[t] = np.append(self.lengths[t], np.array(lengths[t], np.int32))
-        self.uses = np.append(self.uses, np.zeros(len(stretches), np.int64))
+        self.uses = np.append(self.uses, np.zeros(len(stretches), np.uint32))
 
     def _keep_used(self) -> None:
         """Forget the less used half."""
         kept = np.sort(np.argsort(self.uses, kind="stable")[-(self.most // 2) :])
-        new = np.full(len(self.uses), -1)
-        new[kept] = np.arange(len(kept))
+        new = np.full(len(self.uses), -1, np.int32)
+        new[kept] = np.arange(len(kept), dtype=np.int32)
         there = new[self.number_of] >= 0
         self.hashes, self.number_of = self.hashes[there], new[self.number_of[there]]
         for t in range(self.width):
-            self.flat[t], self.lengths[t] = self.rows(t, kept)
+            self.flat[t], lengths = self.rows(t, kept)
+            self.lengths[t] = lengths.astype(np.int32)
         self.uses = self.uses[kept] >> 1
 
     def numbers(self, hashes: np.ndarray, stretches_at: Callable[[np.ndarray], list[str]]) -> np.ndarray:
@@ -103,14 +104,14 @@ class Remembered:
             self.hashes = np.insert(self.hashes, at[new], distinct[new])
             self._learn(stretches_at(first[new]))
         found = self.number_of[np.searchsorted(self.hashes, distinct)]
-        self.uses[found] += counts
+        self.uses[found] += counts.astype(np.uint32)
         return found[inverse]
 
     def rows(self, table: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The integers of ``table`` for the numbers, one after the other, and how many each has."""
-        lengths = self.lengths[table].astype(np.int64)
-        starts = np.cumsum(lengths) - lengths
-        return self.flat[table][ragged(starts[numbers], lengths[numbers])], lengths[numbers]
+        ends = np.cumsum(self.lengths[table], dtype=np.int64)[numbers]
+        lengths = self.lengths[table][numbers].astype(np.int64)
+        return self.flat[table][ragged(ends - lengths, lengths)], lengths
 
 
 #: Bytes of a character's end that may be white space: those of ASCII, and any byte of other characters.

@@ -138,3 +138,14 @@ def test_packing(rows):
         assert at <= 2048
     assert pack(rows([])).count() == 0 and cut_pieces(rows([])).count() == 0
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_encoder_remembers_little():
+    """Workers outlive their tasks, so what they remember stays beside the next stage's arrays."""
+    encoder = packing.Encoder(packing.tokenizer_file(packing.default_tokenizer()))
+    for at in range(40):
+        text = " ".join(f"w{i}" for i in range(at * 10_000, (at + 1) * 10_000))
+        (ids,) = encoder.encode(pa.array([text]))
+    assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    held = encoder.stretches
+    assert sum(v.nbytes for v in (held.hashes, held.number_of, held.uses, *held.flat, *held.lengths)) < 12 << 20
