@@ -1,8 +1,11 @@
 """Documents alike by their word shingles: an exact Jaccard self-join and its components.
 
 1. Every text becomes a set of 64-bit shingle hashes; texts with equal sets are one class.
-2. How many classes hold each shingle is counted on packed arrays of shortened hashes, dealt by
-   hash. Shortening can only raise a count, so a count of one is proof that no other class holds it.
+2. How often each shingle is held is counted on packed arrays of shortened hashes, dealt by hash.
+   Texts are numbered within a block of some megabytes, so a shingle travels with its text's number
+   there and its count returns to the block, which has the classes. Each block counts a class once.
+   Shortening and copies in other blocks can only raise a count, so a count of one is proof that no
+   other class holds the shingle.
 3. A class orders its shingles from rare to common. Two classes can only be alike if they share one
    among the rarest quarter (and one) of either; those nobody else holds need no posting.
 4. Postings meet in tiles of one shingle and neighbouring size bands (sizes that differ by more than
@@ -20,6 +23,7 @@ Nothing is capped: every pair that can be alike is compared or already connected
 Defined cases: null texts and texts without words have empty sets, are linked with nothing and are
 components of their own; a text of fewer than ``k`` words is one shingle; equal sets are linked;
 repeated rows share a component; a null doc_id never names a component unless no member has an id.
+Rows are numbered as they are read, so a table must give them in the same order when read again.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +51,9 @@ SLICE_BYTES = 1 << 21
 TILES_AT_ONCE, WORDS_AT_ONCE = 1024, 1 << 21
 
 SETS = "doc_id BIGINT, row_key BIGINT, n BIGINT, class BIGINT, bits BINARY"
-PACKED = "part INT, hashes BINARY, places BINARY, classes BINARY, sizes BINARY"
-SHARED = "bucket INT, part INT, classes BINARY, sizes BINARY, counts BINARY, hashes BINARY, held BINARY"
+PACKED = "part INT, block BIGINT, hashes BINARY, places BINARY, classes BINARY, sizes BINARY"
+SHARED = "part INT, block BIGINT, hashes BINARY, places BINARY, held BINARY, classes BINARY, sizes BINARY"
+SHARED_NAMES = ["part", "block", "hashes", "places", "held", "classes", "sizes"]
 POSTINGS = "class BIGINT, n BIGINT, weight BIGINT, token BIGINT"
 PAIRS = "a BIGINT, b BIGINT"
 
@@ -55,8 +61,12 @@ PAIRS = "a BIGINT, b BIGINT"
 def sets_of(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all rows, each row's bounds in them, each row's class."""
     grams, rows = shingles(words_of(texts, SPACED), k)
-    order = np.lexsort((grams, rows))
-    grams, rows = grams[order], rows[order]
+    if (rows[1:] < rows[:-1]).any():
+        order = np.argsort(rows, kind="stable")
+        grams, rows = grams[order], rows[order]
+    ends = np.searchsorted(rows, np.arange(len(texts) + 1)).tolist()
+    for a, b in zip(ends, ends[1:]):
+        grams[a:b].sort()
     fresh = np.ones(len(grams), bool)
     fresh[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
     grams, rows = grams[fresh], rows[fresh]
@@ -89,114 +99,108 @@ def document_sets(docs: DataFrame, k: int = K) -> DataFrame:
 
 
 def packed_shingles(docs: DataFrame, parts: int, k: int = K) -> DataFrame:
-    """For each part of the hashes: shortened hashes in order, the place of each one's class, the classes."""
+    """For each block and part of the hashes: shortened hashes in order, the place of each one's text in the block.
+
+    One row of a block, in a part that changes from block to block, has the classes and sizes of its texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in pieces(whole, "text", 2 * SLICE_BYTES):
                 grams, bounds, classes = sets_of(batch.column(0), k)
-                _, first = np.unique(classes, return_index=True)
-                kept = np.zeros(batch.num_rows, bool)
-                kept[first] = True
                 sizes = np.diff(bounds)
-                rows = np.repeat(np.arange(batch.num_rows), sizes)
-                mine = kept[rows]
-                grams, rows = grams[mine], rows[mine]
-                part = ((grams >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-                order = np.lexsort((grams & np.uint64(0xFFFFFFFF), part))
-                grams, rows, part = (grams[order] & np.uint64(0xFFFFFFFF)).astype("<u4"), rows[order], part[order]
-                ends = np.searchsorted(part, np.arange(parts + 1))
-                found = []
-                for p in np.flatnonzero(np.diff(ends)):
-                    held, place = np.unique(rows[ends[p] : ends[p + 1]], return_inverse=True)
-                    kind = "<u2" if len(held) < 1 << 16 else "<u4"
-                    blobs = (grams[ends[p] : ends[p + 1]], place.astype(kind), classes[held], sizes[held].astype("<u4"))
-                    found.append((int(p), *(x.tobytes() for x in blobs)))
-                columns = list(zip(*found)) or [()] * 5
+                held = np.unique(classes, return_index=True)[1]
+                held = held[sizes[held] > 0]
+                if not len(held):
+                    continue
+                place = np.full(batch.num_rows, -1)
+                place[held] = np.arange(len(held))
+                rows = np.repeat(place, sizes)
+                grams, rows = grams[rows >= 0], rows[rows >= 0].astype("<u2" if len(held) <= 1 << 16 else "<u4")
+                codes = ((grams >> np.uint64(32)) % np.uint64(parts) << np.uint64(32)) | (grams & np.uint64(0xFFFFFFFF))
+                order = np.argsort(codes)
+                codes, rows = codes[order], rows[order]
+                hashes = codes.astype("<u4")  # the lower half
+                ends = np.searchsorted(codes, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
+                there = np.flatnonzero(np.diff(ends))
+                spans = [slice(a, b) for a, b in zip(ends[there], ends[there + 1])]
+                named: list[list] = [[None] * len(there) for _ in range(2)]
+                at = (block + (block >> 32)) % len(there)
+                named[0][at], named[1][at] = classes[held].tobytes(), sizes[held].astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-                    names=["part", "hashes", "places", "classes", "sizes"],
+                    [
+                        pa.array(there, pa.int32()),
+                        pa.array(np.full(len(there), block)),
+                        *(pa.array([v[span].tobytes() for span in spans], pa.binary()) for v in (hashes, rows)),
+                        *(pa.array(v, pa.binary()) for v in named),
+                    ],
+                    names=["part", "block", "hashes", "places", "classes", "sizes"],
                 )
+                block += 1
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, PACKED)
 
 
-def _bucket(classes: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(classes.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-
-
-def shared_shingles(packed: DataFrame, buckets: int) -> DataFrame:
-    """The shingles that several classes hold, with how many hold them, packed by buckets of classes.
-
-    A row answers one part of the hashes to one bucket of the classes; there are no more rows than
-    pairs of a class and a part, and far fewer while the buckets hold several classes.
-    """
+def shared_shingles(packed: DataFrame) -> DataFrame:
+    """The shingles that are held more than once, with how often, for each block and part of the hashes."""
 
     def merge(table: pa.Table) -> pa.Table:
-        part, hashes, classes, sizes = table.column("part")[0].as_py(), [], [], []
-        for r in table.drop_columns(["part"]).to_pylist():
-            h, own = np.frombuffer(r["hashes"], "<u4"), np.frombuffer(r["classes"], np.int64)
-            place = np.frombuffer(r["places"], "<u2" if len(own) < 1 << 16 else "<u4")
-            hashes.append(h)
-            classes.append(own[place])
-            sizes.append(np.frombuffer(r["sizes"], "<u4").astype(np.int64)[place])
-        h, c, n = np.concatenate(hashes), np.concatenate(classes), np.concatenate(sizes)
-        order = np.lexsort((c, h))
-        h, c, n = h[order], c[order], n[order]
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        h, c, n = h[fresh], c[fresh], n[fresh]
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        held = np.repeat(np.diff(np.append(starts, len(h))), np.diff(np.append(starts, len(h))))
-        more = held > 1
-        h, c, n, held = h[more], c[more], n[more], held[more]
-        bucket = _bucket(c, buckets)
-        order = np.lexsort((c, bucket))
-        h, c, n, held, bucket = h[order], c[order], n[order], held[order], bucket[order]
-        starts = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]])) if len(c) else np.zeros(0, np.int64)
-        counts = np.diff(np.append(starts, len(c)))
-        named, first = np.unique(bucket, return_index=True)
-        rows = []
-        for b, x, y in zip(named.tolist(), first.tolist(), [*first[1:].tolist(), len(c)]):
-            i, j = np.searchsorted(starts, [x, y])
-            mine = starts[i:j]
-            # a text's shingles and a part's classes both stay below 2**32
-            columns = n[mine], counts[i:j], h[x:y], held[x:y]
-            rows.append((b, part, c[mine].tobytes(), *(v.astype("<u4").tobytes() for v in columns)))
-        columns = list(zip(*rows)) or [()] * 7
-        return pa.table(
-            [*(pa.array(v, pa.int32()) for v in columns[:2]), *(pa.array(v, pa.binary()) for v in columns[2:])],
-            names=["bucket", "part", "classes", "sizes", "counts", "hashes", "held"],
-        )
+        hashes = [np.frombuffer(v.as_py(), "<u4") for v in table.column("hashes")]
+        whole = np.concatenate(hashes)
+        order = np.argsort(whole)
+        ordered = whole[order]
+        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        times = np.diff(np.append(starts, len(whole)))
+        held = np.empty(len(whole), "<u4")
+        held[order] = np.repeat(times, times)
+        found: list[list] = [[], [], []]
+        for mine, places, n in zip(hashes, table.column("places"), np.split(held, np.cumsum([len(h) for h in hashes])[:-1])):
+            places = np.frombuffer(places.as_py(), _kind(places.as_py(), len(mine)))
+            for column, v in zip(found, (mine, places, n)):
+                column.append(v[n > 1].tobytes())
+        columns = [table.column("part"), table.column("block"), *(pa.array(v, pa.binary()) for v in found)]
+        answers = pa.table([*columns, table.column("classes"), table.column("sizes")], names=SHARED_NAMES)
+        return answers.filter(np.array([len(v) > 0 for v in found[0]]) | answers.column("classes").is_valid().to_numpy())
 
     return packed.groupBy("part").applyInArrow(merge, SHARED)
 
 
+def _kind(places: bytes, count: int) -> str:
+    """Places take as many bytes as the block's number of texts asks for."""
+    return f"<u{len(places) // count}" if count else "<u2"
+
+
 def postings(shared: DataFrame, percent: int) -> DataFrame:
     """The shared ones among each class's rarest shingles: token, class, n, weight.
 
-    One more than needed is taken, for two shingles of a text shortened to the same token.
+    One more than needed is taken, for two shingles of a text shortened to the same token. A class
+    that lies in several blocks has the same postings in each.
     """
 
     def rarest(table: pa.Table) -> pa.Table:
-        classes, sizes, counts, hashes, held = (
-            np.concatenate([np.frombuffer(v.as_py(), kind) for v in table.column(name)]).astype(np.int64)
-            for name, kind in (("classes", "<i8"), ("sizes", "<u4"), ("counts", "<u4"), ("hashes", "<u4"), ("held", "<u4"))
-        )
-        answers = [len(v.as_py()) // 4 for v in table.column("hashes")]
+        named = table.filter(table.column("classes").is_valid())
+        if named.num_rows != 1:
+            raise ValueError("the rows of a block changed between two reads")
+        classes, sizes = (np.frombuffer(named.column(c)[0].as_py(), kind).astype(np.int64) for c, kind in (("classes", "<i8"), ("sizes", "<u4")))
+        hashes = [np.frombuffer(v.as_py(), "<u4") for v in table.column("hashes")]
+        answers = [len(h) for h in hashes]
+        hashes = np.concatenate(hashes).astype(np.int64)
+        held = np.concatenate([np.frombuffer(v.as_py(), "<u4") for v in table.column("held")]).astype(np.int64)
+        places = np.concatenate([np.frombuffer(v.as_py(), _kind(v.as_py(), n)) for v, n in zip(table.column("places"), answers)]).astype(np.int64)
         tokens = (np.repeat(table.column("part").to_numpy().astype(np.int64), answers) << 32) | hashes
-        c, n = np.repeat(classes, counts), np.repeat(sizes, counts)
-        order = np.lexsort((tokens, held, c))
-        c, n, tokens, held = c[order], n[order], tokens[order], held[order]
-        starts = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-        shared = np.diff(np.append(starts, len(c)))
-        n_of = n[starts]
+        order = np.lexsort((tokens, held, places))
+        places, tokens, held = places[order], tokens[order], held[order]
+        starts = np.flatnonzero(np.diff(places, prepend=-1))
+        shared = np.diff(np.append(starts, len(places)))
+        n_of = sizes[places[starts]]
         take = n_of - -(-n_of * percent // 100) + 2 - (n_of - shared)
-        weight = np.repeat(np.add.reduceat(held, starts), shared)
-        kept = np.arange(len(c)) - np.repeat(starts, shared) < np.repeat(take, shared)
-        return pa.table([pa.array(v[kept]) for v in (c, n, weight, tokens)], names=["class", "n", "weight", "token"])
+        weight = np.repeat(np.add.reduceat(held, starts) if len(held) else held, shared)
+        kept = np.arange(len(places)) - np.repeat(starts, shared) < np.repeat(take, shared)
+        columns = classes[places], sizes[places], weight, tokens
+        return pa.table([pa.array(v[kept]) for v in columns], names=["class", "n", "weight", "token"])
 
-    return shared.groupBy("bucket").applyInArrow(rarest, POSTINGS)
+    return shared.groupBy("block").applyInArrow(rarest, POSTINGS)
 
 
 def tiled(posts: DataFrame, percent: int) -> DataFrame:
@@ -355,9 +359,10 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
     sets = written(document_sets(docs, k), "sets")
     classes = sets.groupBy("class").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("least_id"))
     classes = written(classes, "classes")
-    total = classes.agg(F.sum("n")).first()[0] or 0
+    total = sets.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-int(total) // PART_SHINGLES))
-    posts = written(postings(shared_shingles(packed_shingles(docs, parts, k), parts), percent), "postings")
+    posts = written(postings(shared_shingles(packed_shingles(docs, parts, k)), percent), "postings")
+    posts = written(posts.dropDuplicates(["class", "token"]), "postings")
     tiles = tiled(posts, percent)
     links = written(exact_links(docs, written(leader_pairs(tiles), "leaders"), k, percent), "links")
     found = written(components(links), "components")

@@ -73,3 +73,15 @@ def test_long_chain_is_one_component(spark):
     links = spark.range(60).selectExpr("id * 7 % 61 AS a", "(id + 1) * 7 % 61 AS b")
     got = components(links).collect()
     assert len(got) == 61 and {r.component for r in got} == {0}
+
+
+def test_more_parts_send_no_more_bytes(rows):
+    """Classes and sizes of texts go along once a block, not once for each part that a text falls into."""
+    docs = rows(corpus(3) + [(i, t) for i, (_, t) in enumerate(corpus(3)[:40])])
+    sent = []
+    for parts in (1, 400):
+        packed = ngram_join.packed_shingles(docs, parts).cache()
+        size = lambda df: sum(len(v) for r in df.collect() for v in r if isinstance(v, (bytes, bytearray)))
+        sent.append((size(packed), size(ngram_join.shared_shingles(packed))))
+        packed.unpersist()
+    assert sent[0][0] == sent[1][0] and sent[1][1] <= sent[0][1]
