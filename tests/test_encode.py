@@ -103,6 +103,30 @@ def test_pretrained_tokenizer(spark, df):
         encode_pretrained(df, path, 1, 2, 0, 1)
 
 
+def test_pretrained_tokenizer_ends_with_the_last_id(monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    from shelfwise.operators import pretrained
+
+    path = public.path("word_bpe_49k.json")
+    whole = tokenizers.Tokenizer.from_file(path)
+    draw = random.Random(5)
+    marks = [" ", "  ", "\n", " \t ", "\u00a0 ", "\u0301", " \u0301", "'s ", "'", "<|endoftext|> ", "\u03a3 ", "E\u0301 ", "12 ", "\U0001f600", "\u4e2d\u6587 "]
+    texts = ["".join(draw.choice("abcdefgh") * draw.randint(0, 9) + draw.choice(marks) for _ in range(n)) for n in (3, 90, 700, 5000)]
+    texts += ["x" * 9000, " " * 9000 + "a", "word " * 9000, "", None, "a" + " " * 5000 + "b c"]
+    taken = []
+    groups = pretrained._groups
+    monkeypatch.setattr(pretrained, "_groups", lambda spans, most: taken.extend(map(len, spans)) or groups(spans, most))
+    for length in (2, 3, 17, 512):
+        ids, mask = pretrained.framed_ids(texts, path, 49406, 49407, 0, length)
+        for text, row, there in zip(texts, ids.tolist(), mask.tolist()):
+            want = [49406, *whole.encode(text or "", add_special_tokens=False).ids[: length - 2], 49407]
+            assert row == want + [0] * (length - len(want)) and there == [1] * len(want) + [0] * (length - len(want))
+    taken.clear()
+    pretrained.framed_ids(["word " * 9000], path, 49406, 49407, 0, 512)
+    assert sum(taken) < 5000
+
+
 def test_vocabulary_files(spark, df, tmp_path):
     path = tmp_path / "vocab.txt"
     path.write_text("[PAD]\n[UNK]\n[CLS]\n[SEP]\nthe\n##s\n", encoding="utf-8")
