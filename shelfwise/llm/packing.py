@@ -35,7 +35,7 @@ LENGTH = 2048
 END = 1
 GROUP_ROWS = 4096
 # Text encoded at a time, and stretches and runs known to a worker at most: workers outlive their tasks.
-SLICE_BYTES, REMEMBERED = 1 << 19, 1 << 18
+SLICE_BYTES, REMEMBERED = 1 << 19, 1 << 19
 # Marks that may follow a run of letters, in a pre-token of their own.
 MARKS = ".,;:!?"
 # Runs of letters encoded in one text; strings of marks that are remembered.
